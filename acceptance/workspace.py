@@ -87,7 +87,7 @@ class Workspace:
         """Bring given tables to bronze unchanged."""
         rows = [{"SOURCE_URL": self.path(table), "TARGET_TABLE": table} for table in tables]
         self.l0("LAND_L0", *rows)
-        self.run("LAND_L0")
+        self.run("LAND_L0", parallelism=len(tables))
 
     def transform(self, query: str, *sources: str, **row: Any) -> DataFrame:
         """Land the sources, run one query over them as a silver load, return its target."""

@@ -58,18 +58,22 @@ def _point(
     spark: SparkSession, site: Site, schema: str, table: str, location: str, columns: StructType
 ) -> None:
     name = site.table(schema, table)
-    if spark.catalog.tableExists(name) and _same_columns(spark.table(name).schema, columns):
+    nullable = StructType([StructField(f.name, f.dataType) for f in columns])
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, source=site.table_format, schema=nullable)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    elif _same_columns(spark.table(name).schema, columns):
         before = table_details(spark, name)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         if before["Type"] == "MANAGED":
             remove_folder(spark, before["Location"])
-        return
-    # Columns cannot be dropped or retyped in place. The finished rewrite is registered under
-    # the stage name first, so that a driver lost between the drop and the create loses nothing.
-    nullable = StructType([StructField(f.name, f.dataType) for f in columns])
-    stage = site.table(schema, table + STAGE_SUFFIX)
-    spark.catalog.createTable(stage, path=location, source=site.table_format, schema=nullable)
-    _promote(spark, site, schema, table)
+    else:
+        # Columns cannot be dropped or retyped in place. The finished rewrite is registered
+        # under the stage name first, so that a driver lost between the drop and the create
+        # loses nothing.
+        stage = site.table(schema, table + STAGE_SUFFIX)
+        spark.catalog.createTable(stage, path=location, source=site.table_format, schema=nullable)
+        _promote(spark, site, schema, table)
 
 
 def _promote(spark: SparkSession, site: Site, schema: str, table: str) -> None:

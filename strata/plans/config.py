@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from strata.functions import first_filled, group_key, or_default, stripped
@@ -209,16 +211,14 @@ def _upsert(
 def _as_frame(
     spark: SparkSession, rows: list[dict[str, Any]], schema: StructType
 ) -> DataFrame:
-    known = {f.name: f.dataType for f in schema}
     named = {name for row in rows for name in row}
-    if named - known.keys():
-        raise ValueError(f"Unknown control columns: {', '.join(sorted(named - known.keys()))}.")
-    used = StructType()
-    for name in known:
-        if name in named:
-            used = used.add(name, known[name])
-    data = [tuple(row.get(name) for name in used.names) for row in rows]
-    return spark.createDataFrame(data, used).coalesce(1)
+    unknown = named.difference(schema.names)
+    if unknown:
+        raise ValueError(f"Unknown control columns: {', '.join(sorted(unknown))}.")
+    used = StructType([f for f in schema if f.name in named])
+    # Through Arrow the rows become a local relation: no Python workers, one task.
+    columns = {name: [row.get(name) for row in rows] for name in used.names}
+    return spark.createDataFrame(pa.table(columns, to_arrow_schema(used)))
 
 
 def export_merge_script(
