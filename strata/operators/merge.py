@@ -8,7 +8,11 @@ The rewrite is two joins instead of one full outer join:
 A full outer join can neither broadcast its small side nor have its hot partitions split by
 AQE. These two can do both: with few changes the target is not shuffled at all, and with many,
 a key that holds a large share of the target (or of the changes, NULL included) is on the
-left, splittable side. The other side of each join holds every key at most once.
+left, splittable side. The other side of each join holds every key at most once. AQE splits a
+hot partition only where both sides come straight from a shuffle, so what the joins read is
+written out first; that also gives the planner real sizes to choose a broadcast by.
+
+A merge in which no key is found adds its rows and leaves the target's files alone.
 """
 
 from __future__ import annotations
@@ -71,57 +75,59 @@ def merge(
         append(changes, site, schema, table)
         return
 
-    # The changes are read several times. Writing them once keeps an expensive or
-    # nondeterministic source from being evaluated again, survives lost executors, and gives
-    # the planner their real size.
+    # Writing the changes once keeps an expensive or nondeterministic source from being
+    # evaluated again, and survives lost executors.
     staging = _staging_location(spark, site, schema, table)
     try:
-        changes.write.parquet(staging)
-        changes = spark.read.schema(changes.schema).parquet(staging)
-        replace_table(
-            _merged(spark.table(name), changes, keys, update_columns, name), site, schema, table
-        )
+        changes = _staged(changes, f"{staging}/changes")
+        target = spark.table(name)
+        single = _updating_rows(target, changes, keys, name, staging)
+        matched = _staged(_present_in(target, single, keys), f"{staging}/matched")
+        if matched.isEmpty():
+            append(changes, site, schema, table)
+        else:
+            rewritten = _updated(target, single, keys, update_columns)
+            inserted = changes.join(matched, keys, "left_anti")
+            rows = inserted.select(*aligned(inserted, columns, fill_missing=True))
+            replace_table(rewritten.unionByName(rows), site, schema, table)
     finally:
         remove_folder(spark, staging)
 
 
-def _merged(
-    target: DataFrame,
-    changes: DataFrame,
-    keys: list[str],
-    update_columns: list[str] | None,
-    name: str,
+def _updating_rows(
+    target: DataFrame, changes: DataFrame, keys: list[str], name: str, staging: str
 ) -> DataFrame:
+    """Changes that may update: those whose key is not NULL and occurs once among them."""
     keyed = changes.where(_all(F.col(f"`{key}`").isNotNull() for key in keys))
     repeated = _repeated_keys(keyed, keys)
-    single = keyed
-    if not repeated.isEmpty():
-        if not _present_in(target, repeated, keys).isEmpty():
-            raise MergeConflict(
-                f"Several source rows match one row of {name} on {', '.join(keys)}."
-            )
-        # Repeated keys match nothing, so only keys that occur once can update.
-        single = _single_rows(keyed, keys)
-
-    wanted = {c.lower() for c in (update_columns or changes.columns)} - {k.lower() for k in keys}
-    wanted &= {c.lower() for c in changes.columns}
+    if repeated.isEmpty():
+        return keyed
+    if not _present_in(target, repeated, keys).isEmpty():
+        raise MergeConflict(f"Several source rows match one row of {name} on {', '.join(keys)}.")
+    # The repeated keys match nothing, so their rows are inserts.
+    return _staged(_single_rows(keyed, keys), f"{staging}/single")
+
+
+def _updated(
+    target: DataFrame, single: DataFrame, keys: list[str], update_columns: list[str] | None
+) -> DataFrame:
+    is_key = {key.lower() for key in keys}
+    brought = {c.lower() for c in single.columns} - is_key
+    wanted = brought & {c.lower() for c in (update_columns or single.columns)}
     matches = _all(F.col(f"t.`{key}`") == F.col(f"s.`{key}`") for key in keys)
     is_matched = F.col(f"s.`{keys[0]}`").isNotNull()
-    updated = (
-        target.alias("t")
-        .join(single.alias("s"), matches, "left_outer")
-        .select(
-            *[
-                F.when(is_matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
-                if c.lower() in wanted
-                else F.col(f"t.`{c}`")
-                for c in target.columns
-            ]
-        )
-    )
-    matched = _present_in(target, single, keys)
-    inserted = changes.join(matched, keys, "left_anti")
-    return updated.unionByName(inserted.select(*aligned(inserted, target.schema, True)))
+    columns = [
+        F.when(is_matched, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
+        if c.lower() in wanted
+        else F.col(f"t.`{c}`")
+        for c in target.columns
+    ]
+    return target.alias("t").join(single.alias("s"), matches, "left_outer").select(*columns)
+
+
+def _staged(df: DataFrame, location: str) -> DataFrame:
+    df.write.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)
 
 
 def conflicting_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

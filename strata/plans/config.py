@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from strata.functions import first_filled, group_key, or_default, stripped
 from strata.operators.merge import merge
@@ -215,7 +215,7 @@ def _as_frame(
     unknown = named.difference(schema.names)
     if unknown:
         raise ValueError(f"Unknown control columns: {', '.join(sorted(unknown))}.")
-    used = StructType([f for f in schema if f.name in named])
+    used = StructType([StructField(f.name, f.dataType) for f in schema if f.name in named])
     # Through Arrow the rows become a local relation: no Python workers, one task.
     columns = {name: [row.get(name) for row in rows] for name in used.names}
     return spark.createDataFrame(pa.table(columns, to_arrow_schema(used)))

@@ -82,7 +82,7 @@ def run_layer(
     if parallelism > 1:
         jobs = [partial(load, _session_like(spark), row) for row in rows]
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            pending = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+            pending = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
             results = [job.result() for job in pending]
     else:
         results = [load(spark, row) for row in rows]
