@@ -1,26 +1,23 @@
-"""Rules for the text fields of control rows and for run parameters."""
+"""Rules for the text fields of control rows, as SQL expressions, and for run parameters."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _WHITESPACE = " \t\n\r\f\v"
 
 
-def stripped(column: Column) -> Column:
+def stripped(field: str) -> str:
     """Field without surrounding whitespace; NULL becomes empty."""
-    return F.btrim(F.coalesce(column, F.lit("")), F.lit(_WHITESPACE))
+    return f"btrim(coalesce({field}, ''), '{_WHITESPACE}')"
 
 
-def or_default(column: Column, default: str) -> Column:
+def or_default(field: str, default: str) -> str:
     """Stripped field, or the default where nothing is left."""
-    return F.coalesce(F.nullif(stripped(column), F.lit("")), F.lit(default))
+    return f"coalesce(nullif({stripped(field)}, ''), '{default}')"
 
 
-def first_filled(*columns: Column) -> Column:
+def first_filled(*fields: str) -> str:
     """First field that is neither NULL nor ''. A field of blanks counts as filled."""
-    return F.coalesce(*[F.nullif(column, F.lit("")) for column in columns])
+    return "coalesce(" + ", ".join(f"nullif({field}, '')" for field in fields) + ")"
 
 
 def group_key(group_id: str | None) -> str:

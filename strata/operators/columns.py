@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.site import quote
+
 _WIDENING = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
 
@@ -37,13 +39,13 @@ def by_lower_name(schema: T.StructType) -> dict[str, T.StructField]:
     return fields
 
 
-def aligned(df: DataFrame, target: T.StructType, fill_missing: bool) -> list[Column]:
+def aligned(df: DataFrame, target: T.StructType, fill_missing: bool) -> list[Column | str]:
     """Columns of ``df`` under the target's names, types and order.
 
     Target columns that ``df`` lacks are NULL or left out.
     """
     incoming = by_lower_name(df.schema)
-    columns = []
+    columns: list[Column | str] = []
     for field in target:
         source = incoming.get(field.name.lower())
         if source is None:
@@ -55,5 +57,9 @@ def aligned(df: DataFrame, target: T.StructType, fill_missing: bool) -> list[Col
                 f"Column {field.name}: cannot store {source.dataType.simpleString()} "
                 f"as {field.dataType.simpleString()}."
             )
-        columns.append(df[f"`{source.name}`"].cast(field.dataType).alias(field.name))
+        name = quote(source.name)
+        if source == field:
+            columns.append(name)
+        else:
+            columns.append(F.col(name).cast(field.dataType).alias(field.name))
     return columns

@@ -84,24 +84,26 @@ def normalise_rows(rows: DataFrame) -> DataFrame:
     """Control rows as the loader uses them: stripped, with defaults, only those with a target."""
     present = {name.upper() for name in rows.columns}
 
-    def text(name: str) -> Column:
-        return F.col(name) if name in present else F.lit(None).cast("string")
-
-    file_format = first_filled(text("INPUT_FILE_FORMAT"), text("FILE_FORMAT"))
-    # Only blanks are cut off a separator: a lone tab is one.
-    delimiter = F.coalesce(F.nullif(F.trim(text("DELIMETER")), F.lit("")), F.lit(","))
-    return rows.select(
-        stripped(text("TARGET_SCHEMA")).alias("TARGET_SCHEMA"),
-        stripped(text("TARGET_TABLE")).alias("TARGET_TABLE"),
-        F.upper(or_default(text("LOAD_TYPE"), "FULL")).alias("LOAD_TYPE"),
-        stripped(text("MERGE_KEYS")).alias("MERGE_KEYS"),
-        stripped(text("SOURCE_URL")).alias("SOURCE_URL"),
-        stripped(text("SOURCE_OBJ_SCHEMA")).alias("SOURCE_OBJ_SCHEMA"),
-        stripped(text("SOURCE_OBJ_NAME")).alias("SOURCE_OBJ_NAME"),
-        F.lower(or_default(file_format, "csv")).alias("SOURCE_FORMAT"),
-        delimiter.alias("DELIMETER"),
-        stripped(text("TRANSFORMATION_QUERY")).alias("TRANSFORMATION_QUERY"),
-    ).where("TARGET_SCHEMA != '' AND TARGET_TABLE != ''")
+    def text(name: str) -> str:
+        return name if name in present else "CAST(NULL AS STRING)"
+
+    fields = {
+        "TARGET_SCHEMA": stripped(text("TARGET_SCHEMA")),
+        "TARGET_TABLE": stripped(text("TARGET_TABLE")),
+        "LOAD_TYPE": f"upper({or_default(text('LOAD_TYPE'), 'FULL')})",
+        "MERGE_KEYS": stripped(text("MERGE_KEYS")),
+        "SOURCE_URL": stripped(text("SOURCE_URL")),
+        "SOURCE_OBJ_SCHEMA": stripped(text("SOURCE_OBJ_SCHEMA")),
+        "SOURCE_OBJ_NAME": stripped(text("SOURCE_OBJ_NAME")),
+        "SOURCE_FORMAT": "lower({})".format(
+            or_default(first_filled(text("INPUT_FILE_FORMAT"), text("FILE_FORMAT")), "csv")
+        ),
+        # Only blanks are cut off a separator: a lone tab is one.
+        "DELIMETER": f"coalesce(nullif(trim({text('DELIMETER')}), ''), ',')",
+        "TRANSFORMATION_QUERY": stripped(text("TRANSFORMATION_QUERY")),
+    }
+    named = rows.selectExpr(*[f"{value} AS {name}" for name, value in fields.items()])
+    return named.where("TARGET_SCHEMA != '' AND TARGET_TABLE != ''")
 
 
 def active_views(
