@@ -33,7 +33,7 @@ SELECT upper(p_type) || '_L0' AS data_flow_group_id,
            AS load_type,
        CASE WHEN p_size < 10 THEN '|' WHEN p_size < 20 THEN ' ; ' WHEN p_size < 30 THEN chr(9)
             WHEN p_size < 40 THEN '' END AS delimeter,
-       CASE WHEN p_retailprice < 920 THEN 'N' WHEN p_name LIKE 'red%' THEN 'y' ELSE 'Y' END
+       CASE WHEN p_size IN (4, 13, 22, 36) THEN 'N' WHEN p_name LIKE 'red%' THEN 'y' ELSE 'Y' END
            AS is_active
 FROM part
 """
@@ -315,6 +315,7 @@ ON tgt.DATA_FLOW_GROUP_ID = src.DATA_FLOW_GROUP_ID
 WHEN MATCHED THEN UPDATE SET tgt.NOTEBOOK_PATH = src.NOTEBOOK_PATH, tgt.IS_ACTIVE = src.IS_ACTIVE, tgt.UPDATED_DATE = src.UPDATED_DATE
 WHEN NOT MATCHED THEN INSERT (DATA_FLOW_GROUP_ID, JOB_NAME, NOTEBOOK_PATH, IS_ACTIVE, CREATED_DATE, UPDATED_DATE) VALUES (src.DATA_FLOW_GROUP_ID, src.JOB_NAME, src.NOTEBOOK_PATH, src.IS_ACTIVE, src.CREATED_DATE, src.UPDATED_DATE);
 ' AS statement
+WHERE EXISTS (SELECT 1 FROM d)
 UNION ALL
 SELECT 1, target_table, 'MERGE INTO "l0_detail" AS tgt
 USING (SELECT ''PROMO_L0'' AS DATA_FLOW_GROUP_ID, '

@@ -20,10 +20,14 @@ STAGE_SUFFIX = "__stage"
 
 
 def table_details(spark: SparkSession, name: str) -> dict[str, str]:
-    """Provider, Location and Type of a table as the catalog reports them."""
+    """Provider, Location and Type of a table as the catalog reports them, and whether it is
+    Partitioned."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     start = next(i for i, row in enumerate(rows) if row.col_name.startswith("# Detailed Table"))
-    return {row.col_name: row.data_type for row in rows[start + 1 :]}
+    details = {row.col_name: row.data_type for row in rows[start + 1 :]}
+    if any(row.col_name == "# Partition Information" for row in rows[:start]):
+        details["Partitioned"] = "yes"
+    return details
 
 
 def new_location(spark: SparkSession, site: Site, schema: str, label: str) -> str:
@@ -62,18 +66,19 @@ def _point(
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, source=site.table_format, schema=nullable)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-    elif _same_columns(spark.table(name).schema, columns):
-        before = table_details(spark, name)
+        return
+    before = table_details(spark, name)
+    fits = _same_columns(spark.table(name).schema, columns) and "Partitioned" not in before
+    if fits and before["Provider"].lower() == site.table_format:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         if before["Type"] == "MANAGED":
             remove_folder(spark, before["Location"])
-    else:
-        # Columns cannot be dropped or retyped in place. The finished rewrite is registered
-        # under the stage name first, so that a driver lost between the drop and the create
-        # loses nothing.
-        stage = site.table(schema, table + STAGE_SUFFIX)
-        spark.catalog.createTable(stage, path=location, source=site.table_format, schema=nullable)
-        _promote(spark, site, schema, table)
+        return
+    # Columns cannot be dropped or retyped in place. The finished rewrite is registered under
+    # the stage name first, so that a driver lost between the drop and the create loses nothing.
+    stage = site.table(schema, table + STAGE_SUFFIX)
+    spark.catalog.createTable(stage, path=location, source=site.table_format, schema=nullable)
+    _promote(spark, site, schema, table)
 
 
 def _promote(spark: SparkSession, site: Site, schema: str, table: str) -> None:

@@ -109,10 +109,17 @@ def normalise_rows(rows: DataFrame) -> DataFrame:
 def active_views(
     spark: SparkSession, group_id: str, run_layer: str = "ALL", site: Site = Site()
 ) -> DataFrame:
-    """Active VIEW rows of a group, L1 before L2, each by target name."""
+    """Active VIEW rows of a group, L1 before L2, each by target name.
+
+    A layer without a detail table has none.
+    """
+    site = site.on(spark)
     layers = [layer for layer in ("L1", "L2") if run_layer in ("ALL", layer)]
     if not layers:
         raise ValueError(f"Views exist in L1 and L2, not in '{run_layer}'.")
+    layers = [name for name in layers if spark.catalog.tableExists(site.control(DETAIL_TABLES[name]))]
+    if not layers:
+        raise LookupError(f"No detail tables in {site.schema(site.admin)}.")
     parts = [
         _details(spark, site, layer)
         .where(_in_group(group_id))
@@ -236,8 +243,7 @@ def export_merge_script(
     active = _in_group(group) & F.expr(_IS_ACTIVE)
     header = spark.table(site.control(HEADER_TABLE)).where(active)
     details = _details(spark, site, "L0").where(active)
-    has_header = details.join(header.select(GROUP).distinct(), GROUP, "left_semi")
-    has_details = header.join(details.select(GROUP).distinct(), GROUP, "left_semi")
+    is_complete = F.lit(not header.isEmpty() and not details.isEmpty())
 
     header_values = {
         GROUP: F.col(GROUP),
@@ -249,7 +255,7 @@ def export_merge_script(
     detail_values = {name: F.col(name) for name in (*detail_columns, "LOAD_TYPE")}
     detail_values["IS_ACTIVE"] = F.lit("Y")
     comment = F.lit(f"-- {label or 'export'} | {group}\n")
-    statements = has_details.select(
+    statements = header.select(
         F.lit(0).alias("part"),
         F.lit("").alias("target"),
         F.concat(
@@ -257,7 +263,7 @@ def export_merge_script(
             _merge_statement(site.control(HEADER_TABLE), header_values, [GROUP], HEADER_UPDATES),
         ).alias("statement"),
     ).unionByName(
-        has_header.select(
+        details.select(
             F.lit(1).alias("part"),
             F.col("TARGET_TABLE").alias("target"),
             _merge_statement(
@@ -268,7 +274,7 @@ def export_merge_script(
             ).alias("statement"),
         )
     )
-    return statements.orderBy("part", "target")
+    return statements.where(is_complete).orderBy("part", "target")
 
 
 def write_script(script: DataFrame, path: str) -> None:

@@ -303,3 +303,73 @@ def test_external_target_keeps_its_files(spark, site, silver, tmp_path):
     spark.catalog.createTable(name, path=outside, source="parquet")
     assert write_table(spark.range(5), silver, "t", "FULL", "", site) == 5
     assert spark.read.parquet(outside).count() == 3
+
+
+def test_partitioned_target_keeps_its_rows(spark, site, silver, rows):
+    """A table partitioned by someone else is read, appended to and rewritten correctly."""
+    name = site.table(silver, "t")
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING, p INT) USING parquet PARTITIONED BY (p)")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'a', 1), (2, 'b', 2)")
+    changes = spark.sql("SELECT 3 AS p, 3 AS k, 'c' AS v")
+    assert write_table(changes, silver, "t", "APPEND", "", site) == 3
+    changes = spark.sql("SELECT 'B' AS v, 2 AS k")
+    assert write_table(changes, silver, "t", "MERGE", "k", site) == 3
+    assert rows(spark.table(name)) == [(1, "a", 1), (2, "B", 2), (3, "c", 3)]
+    assert write_table(changes, silver, "t", "MERGE", "k", site) == 3
+
+
+def test_target_of_another_format_takes_the_sites(spark, site, silver, rows):
+    name = site.table(silver, "t")
+    spark.sql(f"CREATE TABLE {name} (k INT) USING orc")
+    spark.sql(f"INSERT INTO {name} VALUES (1)")
+    assert write_table(spark.sql("SELECT 1 AS k"), silver, "t", "MERGE", "k", site) == 1
+    assert replacing.table_details(spark, name)["Provider"].lower() == "parquet"
+    assert rows(spark.table(name)) == [(1,)]
+
+
+def test_a_merge_that_only_inserts_leaves_the_files_alone(spark, load, table, rows, site, silver):
+    load("SELECT id AS k FROM range(3)", "MERGE", "k")
+    before = folders(site, silver), set(table().inputFiles())
+    assert load("SELECT id + 3 AS k FROM range(3)", "MERGE", "k") == 6
+    assert folders(site, silver) == before[0]
+    assert before[1] < set(table().inputFiles())
+    assert rows(table()) == [(i,) for i in range(6)]
+
+
+def test_merge_plans(spark, load, site, silver, monkeypatch):
+    """Few changes: the target is not shuffled. Many: its hot key is split."""
+    import sys
+
+    plans = []
+    merging = sys.modules["strata.operators.merge"]
+    replace = merging.replace_table
+
+    def executed(df, *args):
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        plans.append(execution.executedPlan().toString().split("Initial Plan")[0])
+        replace(df, *args)
+
+    monkeypatch.setattr(merging, "replace_table", executed)
+    target = "SELECT IF(id % 3 = 0, 7, id) AS k, uuid() AS pad, 0 AS v FROM range(300000)"
+    load(target)
+    load("SELECT id AS k, 1 AS v FROM range(100)", "MERGE", "k")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert "Exchange hashpartitioning" not in plans[0].split("LeftAnti")[0]
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        # Unmatched repeats among the changes, and two changes that meet the target.
+        load("SELECT IF(id < 50000, -1, 7 + (id - 50000)) AS k, 2 AS v FROM range(50002)",
+             "MERGE", "k")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plans[1]
