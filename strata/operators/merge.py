@@ -7,10 +7,11 @@ The rewrite is two joins instead of one full outer join:
 
 A full outer join can neither broadcast its small side nor have its hot partitions split by
 AQE. These two can do both: with few changes the target is not shuffled at all, and with many,
-a key that holds a large share of the target (or of the changes, NULL included) is on the
-left, splittable side. The other side of each join holds every key at most once. AQE splits a
-hot partition only where both sides come straight from a shuffle, so what the joins read is
-written out first; that also gives the planner real sizes to choose a broadcast by.
+a key that holds a large share of the target is on the left, splittable side, while the changes
+that take part hold each key once. Changes whose key is NULL or repeated match nothing and stay
+out of both joins. AQE splits a hot partition only where both sides come straight from a
+shuffle, so what the joins read is written out first; that also gives the planner real sizes to
+choose a broadcast by.
 
 A merge in which no key is found adds its rows and leaves the target's files alone.
 """
@@ -31,7 +32,7 @@ from strata.operators.replace import (
     remove_folder,
     replace_table,
 )
-from strata.site import Site
+from strata.site import Site, quote
 
 
 class MergeConflict(ValueError):
@@ -81,31 +82,36 @@ def merge(
     try:
         changes = _staged(changes, f"{staging}/changes")
         target = spark.table(name)
-        single = _updating_rows(target, changes, keys, name, staging)
-        matched = _staged(_present_in(target, single, keys), f"{staging}/matched")
+        single, unmatched = _split(target, changes, keys, name, staging)
+        matched = _staged(
+            target.select(*keys).join(single.select(*keys), keys, "left_semi"),
+            f"{staging}/matched",
+        )
         if matched.isEmpty():
             append(changes, site, schema, table)
         else:
             rewritten = _updated(target, single, keys, update_columns)
-            inserted = changes.join(matched, keys, "left_anti")
+            inserted = unmatched.unionByName(single.join(matched.distinct(), keys, "left_anti"))
             rows = inserted.select(*aligned(inserted, columns, fill_missing=True))
             replace_table(rewritten.unionByName(rows), site, schema, table)
     finally:
         remove_folder(spark, staging)
 
 
-def _updating_rows(
+def _split(
     target: DataFrame, changes: DataFrame, keys: list[str], name: str, staging: str
-) -> DataFrame:
-    """Changes that may update: those whose key is not NULL and occurs once among them."""
-    keyed = changes.where(_all(F.col(f"`{key}`").isNotNull() for key in keys))
+) -> tuple[DataFrame, DataFrame]:
+    """Changes with a key of their own, and those that match nothing: NULL or repeated keys."""
+    has_key = _all(F.col(f"`{key}`").isNotNull() for key in keys)
+    keyed, unkeyed = changes.where(has_key), changes.where(~has_key)
     repeated = _repeated_keys(keyed, keys)
     if repeated.isEmpty():
-        return keyed
+        return keyed, unkeyed
+    repeated = _staged(repeated, f"{staging}/repeated")
     if not _present_in(target, repeated, keys).isEmpty():
         raise MergeConflict(f"Several source rows match one row of {name} on {', '.join(keys)}.")
-    # The repeated keys match nothing, so their rows are inserts.
-    return _staged(_single_rows(keyed, keys), f"{staging}/single")
+    single = _staged(keyed.join(repeated, keys, "left_anti"), f"{staging}/single")
+    return single, unkeyed.unionByName(keyed.join(repeated, keys, "left_semi"))
 
 
 def _updated(
@@ -139,13 +145,6 @@ def _repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys)
 
 
-def _single_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
-    rest = [c for c in rows.columns if c not in keys]
-    picked = [F.first(f"`{c}`").alias(c) for c in rest]
-    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *picked)
-    return grouped.where("__n = 1").select(*rows.columns)
-
-
 def _present_in(target: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of ``candidates`` that occur in ``target``, each once.
 
@@ -178,20 +177,28 @@ def _merge_into(
     update_columns: list[str] | None,
 ) -> None:
     """Tables with row-level updates merge in place."""
-    spark, name = df.sparkSession, site.table(schema, table)
+    spark, name, view = df.sparkSession, site.table(schema, table), f"_changes_{table}"
     if not spark.catalog.tableExists(name):
         df.limit(0).write.format(site.table_format).saveAsTable(name)
-    is_key = {key.lower() for key in keys}
-    updates = [c for c in (update_columns or df.columns) if c.lower() not in is_key]
-    df.createOrReplaceTempView(f"_changes_{table}")
-    on = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
-    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in updates)
-    matched = f"WHEN MATCHED THEN UPDATE SET {sets} " if updates else ""
-    names = ", ".join(f"`{c}`" for c in df.columns)
-    values = ", ".join(f"s.`{c}`" for c in df.columns)
-    spark.sql(
-        f"MERGE INTO {name} t USING `_changes_{table}` s ON {on} {matched}"
-        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    df.createOrReplaceTempView(quote(view))
+    try:
+        spark.sql(_merge_statement(name, view, df.columns, keys, update_columns))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _merge_statement(
+    name: str, view: str, columns: list[str], keys: list[str], update_columns: list[str] | None
+) -> str:
+    wanted = {c.lower() for c in (update_columns or columns)} - {key.lower() for key in keys}
+    on = " AND ".join(f"t.{quote(key)} = s.{quote(key)}" for key in keys)
+    sets = ", ".join(f"t.{quote(c)} = s.{quote(c)}" for c in columns if c.lower() in wanted)
+    update = f"WHEN MATCHED THEN UPDATE SET {sets} " if sets else ""
+    inserted = ", ".join(quote(c) for c in columns)
+    values = ", ".join(f"s.{quote(c)}" for c in columns)
+    return (
+        f"MERGE INTO {name} t USING {quote(view)} s ON {on} {update}"
+        f"WHEN NOT MATCHED THEN INSERT ({inserted}) VALUES ({values})"
     )
 
 

@@ -269,6 +269,22 @@ def test_merge_agrees_with_plain_python(spark, load, table, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_statement_for_tables_that_merge_in_place(spark):
+    """The connector is not installed here, so only the statement is checked."""
+    import sys
+
+    statement = sys.modules["strata.operators.merge"]._merge_statement
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    text = statement("c.s.t", "_changes_t", ["K", "v", "odd name"], ["k"], None)
+    assert "UPDATE SET t.`v` = s.`v`, t.`odd name` = s.`odd name` WHEN NOT" in text
+    assert "MergeIntoTable" in parser.parsePlan(text).toString()
+    text = statement("c.s.t", "_changes_t", ["k", "v"], ["k"], ["v", "not brought"])
+    assert "SET t.`v` = s.`v` WHEN NOT" in text
+    text = statement("c.s.t", "_changes_t", ["k"], ["k"], None)
+    assert "UPDATE" not in text
+    assert "MergeIntoTable" in parser.parsePlan(text).toString()
+
+
 def test_conflicting_keys(spark, rows):
     target = spark.sql("SELECT * FROM VALUES (1), (1), (2), (NULL) AS t(k)")
     source = spark.sql("SELECT * FROM VALUES (1), (2), (2), (3), (3), (NULL), (NULL) AS t(k)")
