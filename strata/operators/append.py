@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from strata.operators.columns import aligned, by_lower_name
-from strata.operators.replace import finish_interrupted, replace_table
+from strata.operators.replace import finish_interrupted, replace_table, uses_delta
 from strata.site import Site, quote
 
 
@@ -16,7 +16,7 @@ def append(df: DataFrame, site: Site, schema: str, table: str) -> None:
     ones are NULL in the new rows, and a type that would lose values is an error.
     """
     spark, name = df.sparkSession, site.table(schema, table)
-    if site.table_format == "delta":
+    if uses_delta(spark, site, name):
         writer = df.write.format("delta").mode("append").option("mergeSchema", "true")
         writer.saveAsTable(name)
         return

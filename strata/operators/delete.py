@@ -6,7 +6,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from strata.operators.replace import finish_interrupted, replace_table
+from strata.operators.replace import finish_interrupted, replace_table, uses_delta
 from strata.site import Site
 
 
@@ -23,7 +23,7 @@ def delete_where(
     ``args`` are values for the named parameters (``:name``) of the predicate.
     """
     name = site.table(schema, table)
-    if site.table_format == "delta":
+    if uses_delta(spark, site, name):
         spark.sql(f"DELETE FROM {name} WHERE {predicate}", args=args)
         return
     finish_interrupted(spark, site, schema, table)

@@ -31,6 +31,7 @@ from strata.operators.replace import (
     new_location,
     remove_folder,
     replace_table,
+    uses_delta,
 )
 from strata.site import Site, quote
 
@@ -56,7 +57,7 @@ def merge(
     spark, name = df.sparkSession, site.table(schema, table)
     if not keys:
         raise ValueError(f"MERGE_KEYS is empty for {name}. Add keys to the control table.")
-    if site.table_format == "delta":
+    if uses_delta(spark, site, name):
         _merge_into(df, site, schema, table, keys, update_columns)
         return
     finish_interrupted(spark, site, schema, table)
@@ -179,7 +180,7 @@ def _merge_into(
     """Tables with row-level updates merge in place."""
     spark, name, view = df.sparkSession, site.table(schema, table), f"_changes_{table}"
     if not spark.catalog.tableExists(name):
-        df.limit(0).write.format(site.table_format).saveAsTable(name)
+        df.limit(0).write.format("delta").saveAsTable(name)
     df.createOrReplaceTempView(quote(view))
     try:
         spark.sql(_merge_statement(name, view, df.columns, keys, update_columns))

@@ -30,6 +30,13 @@ def table_details(spark: SparkSession, name: str) -> dict[str, str]:
     return details
 
 
+def uses_delta(spark: SparkSession, site: Site, name: str) -> bool:
+    """Whether a target has its own row-level updates: by its provider, or when new, the site's."""
+    if spark.catalog.tableExists(name):
+        return table_details(spark, name).get("Provider", "").lower() == "delta"
+    return site.table_format == "delta"
+
+
 def new_location(spark: SparkSession, site: Site, schema: str, label: str) -> str:
     home = spark.catalog.getDatabase(site.schema(schema)).locationUri
     return f"{home.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -42,10 +49,10 @@ def remove_folder(spark: SparkSession, location: str) -> None:
 
 def replace_table(df: DataFrame, site: Site, schema: str, table: str) -> None:
     """FULL load: rows and schema of the table become those of ``df``."""
-    spark = df.sparkSession
-    if site.table_format == "delta":
+    spark, name = df.sparkSession, site.table(schema, table)
+    if site.table_format == "delta" or uses_delta(spark, site, name):
         writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
-        writer.saveAsTable(site.table(schema, table))
+        writer.saveAsTable(name)
         return
     by_lower_name(df.schema)
     finish_interrupted(spark, site, schema, table)
