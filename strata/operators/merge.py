@@ -180,7 +180,7 @@ def _merge_into(
     """Tables with row-level updates merge in place."""
     spark, name, view = df.sparkSession, site.table(schema, table), f"_changes_{table}"
     if not spark.catalog.tableExists(name):
-        df.limit(0).write.format("delta").saveAsTable(name)
+        df.where("false").write.format("delta").saveAsTable(name)
     df.createOrReplaceTempView(quote(view))
     try:
         spark.sql(_merge_statement(name, view, df.columns, keys, update_columns))
