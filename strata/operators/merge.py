@@ -36,6 +36,11 @@ from strata.operators.replace import (
 from strata.site import Site, quote
 
 
+# Spark chooses a broadcast by file size, and a small file of repeated values can hold very many
+# rows. Changes of more rows than this are joined by sort-merge whatever their size.
+BROADCAST_ROWS = 1_000_000
+
+
 class MergeConflict(ValueError):
     """Several source rows carry a key that the target holds."""
 
@@ -84,14 +89,15 @@ def merge(
         changes = _staged(changes, f"{staging}/changes")
         target = spark.table(name)
         single, unmatched = _split(target, changes, keys, name, staging)
+        joinable = single.hint("merge") if changes.count() > BROADCAST_ROWS else single
         matched = _staged(
-            target.select(*keys).join(single.select(*keys), keys, "left_semi"),
+            target.select(*keys).join(joinable.select(*keys), keys, "left_semi"),
             f"{staging}/matched",
         )
         if matched.isEmpty():
             append(changes, site, schema, table)
         else:
-            rewritten = _updated(target, single, keys, update_columns)
+            rewritten = _updated(target, joinable, keys, update_columns)
             inserted = unmatched.unionByName(single.join(matched.distinct(), keys, "left_anti"))
             rows = inserted.select(*aligned(inserted, columns, fill_missing=True))
             replace_table(rewritten.unionByName(rows), site, schema, table)

@@ -373,6 +373,10 @@ def test_merge_plans(spark, load, site, silver, monkeypatch):
     assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
     assert "Exchange hashpartitioning" not in plans[0].split("LeftAnti")[0]
 
+    monkeypatch.setattr(merging, "BROADCAST_ROWS", 50)
+    load("SELECT id AS k, 1 AS v FROM range(100)", "MERGE", "k")
+    assert "SortMergeJoin" in plans.pop() and len(plans) == 1
+
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
@@ -382,6 +386,7 @@ def test_merge_plans(spark, load, site, silver, monkeypatch):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
+        load(target)
         # Unmatched repeats among the changes, and two changes that meet the target.
         load("SELECT IF(id < 50000, -1, 7 + (id - 50000)) AS k, 2 AS v FROM range(50002)",
              "MERGE", "k")
