@@ -22,7 +22,7 @@ WITH texts AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
 ), parts AS (
     SELECT rid, doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
-           list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '{_WORD}')) AS lines
+           list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines
     FROM texts
 ), windows AS (
     SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS win
@@ -38,8 +38,8 @@ WITH texts AS (
            length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
            len(lines)::BIGINT AS n_lines,
            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-           len(list_filter(w, x -> x IN ({stop})))::BIGINT AS n_stop_words,
-           coalesce(list_max(list_transform(w, x -> length(x))), 0) AS longest_word,
+           len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
+           coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word,
            coalesce(n, 0)::BIGINT AS n_repeat_words, 1 AS one
     FROM parts LEFT JOIN covered USING (rid)
 ), judged AS (
