@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules, simhash
+from strata.llm import quality_rules, secrets, simhash
 from strata.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("secrets")
+
+    def kind(*names: str) -> Column:
+        return F.filter(found, lambda span: span["kind"].isin(*names))
+
+    return secrets.scan(docs).select(
+        "doc_id",
+        *(F.size(kind(name)).cast("long").alias(f"n_{name}") for name in secrets.BASE_KINDS),
+        F.sha2(secrets.digest(kind(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
+        secrets.digest(found).alias("spans"),
+        F.size(kind("pem", "key", "jwt")).cast("long").alias("n_confirmed"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -34,6 +50,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op5_simhash": op5_simhash,
     "op8_quality_rules": op8_quality_rules,
 }
