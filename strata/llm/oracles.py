@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import quality_rules
+from strata.llm import mixing, quality_rules
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -51,6 +51,88 @@ FROM judged
 """
 
 
+def _mixing() -> str:
+    weight = " ".join(
+        f"WHEN n % {len(mixing.WEIGHTS)} = {k} THEN {value}.0" for k, value in enumerate(mixing.WEIGHTS)
+    )
+    most = f"{mixing.MOST_COPIES}.0"
+    return rf"""
+WITH sized AS (
+    SELECT doc_id, source,
+           len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size
+    FROM documents
+), numbered AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT source, source_size, (CASE {weight} END)::DOUBLE AS weight,
+           (source_size * {most})::DOUBLE AS cap
+    FROM numbered
+), levels AS (
+    SELECT *, (sum(source_size::DOUBLE) OVER () * {mixing.SHARE}::DOUBLE
+               - coalesce(sum(cap) OVER before, 0)) /
+              (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM weighed
+    WINDOW before AS (ORDER BY cap / weight, source NULLS FIRST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), sources AS (
+    SELECT source, source_size,
+           CASE WHEN cap <= weight * level THEN cap ELSE weight * common END AS target
+    FROM levels, (SELECT min_by(level, cap / weight) AS common FROM levels WHERE cap > weight * level)
+), classes AS (
+    SELECT source, length(bin(size)) AS merit, sum(size)::DOUBLE AS words
+    FROM sized GROUP BY source, merit
+), rates AS (
+    SELECT c.*, target, source_size,
+           (target - coalesce(sum(words) OVER before, 0) * {most}) /
+           nullif(sum(words * merit) OVER (PARTITION BY c.source)
+                  - coalesce(sum(words * merit) OVER before, 0), 0) AS level
+    FROM classes c JOIN sources s ON c.source IS NOT DISTINCT FROM s.source
+    WINDOW before AS (PARTITION BY c.source ORDER BY merit DESC
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), expected AS (
+    SELECT *, CASE WHEN coalesce(merit * level >= {most}, FALSE) THEN {most}::DOUBLE
+              ELSE greatest(least(coalesce(merit * max_by(level, merit)
+                   FILTER (WHERE NOT coalesce(merit * level >= {most}, FALSE))
+                   OVER (PARTITION BY source), 0), {most}::DOUBLE), 0::DOUBLE) END AS e
+    FROM rates
+), lefts AS (
+    SELECT *, floor(e) AS certain, e - floor(e) AS pi,
+           target - sum(floor(e) * words) OVER (PARTITION BY source) AS rest
+    FROM expected
+), drawn AS (
+    SELECT d.doc_id, d.source, d.size, source_size, target, certain, rest, pi,
+           (('0x' || substr(md5('{mixing.SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT
+            ::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+    FROM sized d JOIN lefts l
+    ON d.source IS NOT DISTINCT FROM l.source AND length(bin(d.size)) = l.merit
+), ranked AS (
+    SELECT *, CASE WHEN pi > 0 AND size > 0 THEN (u / (1 - u)) / (pi / (1 - pi)) END AS q FROM drawn
+), units AS (
+    SELECT source, q, doc_id, size, rest, sum(size)::DOUBLE AS words FROM ranked
+    WHERE q IS NOT NULL GROUP BY ALL
+), summed AS (
+    SELECT *, sum(words) OVER (PARTITION BY source ORDER BY q, doc_id, size
+                               ROWS UNBOUNDED PRECEDING) AS upto FROM units
+), gaps AS (
+    SELECT source, any_value(rest) - coalesce(max(upto) FILTER (WHERE upto <= rest), 0) AS gap
+    FROM summed GROUP BY source
+), fillers AS (
+    SELECT s.source, max(row(words, doc_id, size)) AS filler
+    FROM summed s JOIN gaps g ON s.source IS NOT DISTINCT FROM g.source
+    WHERE upto > rest AND words <= gap GROUP BY s.source
+)
+SELECT r.doc_id, r.size, r.source_size, r.target,
+       (r.size * (r.certain + (r.q IS NOT NULL AND (coalesce(s.upto <= s.rest, FALSE)
+        OR coalesce(f.filler = row(s.words, r.doc_id, r.size), FALSE)))::INT))::BIGINT AS taken
+FROM ranked r
+LEFT JOIN summed s ON r.source IS NOT DISTINCT FROM s.source AND r.doc_id = s.doc_id AND r.size = s.size
+LEFT JOIN fillers f ON r.source IS NOT DISTINCT FROM f.source
+"""
+
+
 SQL: dict[str, str] = {
+    "op2_mixing": _mixing(),
     "op8_quality_rules": _quality_rules(),
 }

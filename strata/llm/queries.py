@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules, secrets, simhash
+from strata.llm import mixing, quality_rules, secrets, simhash
 from strata.llm.common import table
 
 
@@ -27,6 +27,13 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -51,6 +58,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_mixing": op2_mixing,
     "op5_simhash": op5_simhash,
     "op8_quality_rules": op8_quality_rules,
 }
