@@ -13,8 +13,7 @@ rest, pi, is an inclusion probability: each document draws a uniform u, ranks by
 
 and the smallest q of a source are taken. The sample has a fixed size, counted in words: documents
 enter in the order of q while they fit the words that are left, and the last place goes to the
-largest document that fits what remains. Documents stay whole; a source misses its target by less
-than its smallest document left out.
+document whose size is nearest to what remains. Documents stay whole.
 
 No document is sorted against all others: q becomes one of BINS bins, words are summed by source
 and bin, and only the bin in which a source's words run out is ordered. A hot source's sums are
@@ -195,9 +194,9 @@ def prepare(sized: DataFrame) -> tuple[DataFrame, Mix]:
     fillers = (
         rest.groupBy("source", "doc_id", "size")
         .agg(F.sum("size").alias("words"), F.max("gap").alias("gap"))
-        .where("words <= gap")
+        .where("words < 2 * gap")
         .groupBy("source")
-        .agg(F.max(F.struct("words", "doc_id", "size")).alias("filler"))
+        .agg(F.min(F.struct(F.abs(F.col("words") - F.col("gap")), "doc_id", "size")).alias("filler"))
     )
     return placed, Mix(classes, cuts, settle(fillers, "fillers"))
 

@@ -119,13 +119,13 @@ WITH sized AS (
     SELECT source, any_value(rest) - coalesce(max(upto) FILTER (WHERE upto <= rest), 0) AS gap
     FROM summed GROUP BY source
 ), fillers AS (
-    SELECT s.source, max(row(words, doc_id, size)) AS filler
+    SELECT s.source, min(row(abs(words - gap), doc_id, size)) AS filler
     FROM summed s JOIN gaps g ON s.source IS NOT DISTINCT FROM g.source
-    WHERE upto > rest AND words <= gap GROUP BY s.source
+    WHERE upto > rest AND words < 2 * gap GROUP BY s.source
 )
 SELECT r.doc_id, r.size, r.source_size, r.target,
        (r.size * (r.certain + (r.q IS NOT NULL AND (coalesce(s.upto <= s.rest, FALSE)
-        OR coalesce(f.filler = row(s.words, r.doc_id, r.size), FALSE)))::INT))::BIGINT AS taken
+        OR coalesce(f.filler[2] = r.doc_id AND f.filler[3] = r.size, FALSE)))::INT))::BIGINT AS taken
 FROM ranked r
 LEFT JOIN summed s ON r.source IS NOT DISTINCT FROM s.source AND r.doc_id = s.doc_id AND r.size = s.size
 LEFT JOIN fillers f ON r.source IS NOT DISTINCT FROM f.source
