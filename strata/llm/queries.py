@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, quality_rules, secrets, simhash
+from strata.llm import mixing, packing, quality_rules, secrets, simhash
 from strata.llm.common import table
 
 
+def vocabulary() -> str:
+    """The word tokenizer's file, installed at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = F.col("secrets")
@@ -41,6 +48,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules.judge(docs, into="quality")
@@ -60,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
     "op5_simhash": op5_simhash,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
 }
