@@ -37,18 +37,25 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is there goes when the application ends."""
+    folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    jvm_folder = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = jvm_folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_folder)
+    files.deleteOnExit(jvm_folder)
+    return f"{folder}/data"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """The frame, written once to the shared folder and reread.
 
     Cuts the lineage, so that a lost executor costs no more than its running tasks, and gives the
-    planner real sizes. The folder goes when the application ends.
+    planner real sizes.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def words(text: Column) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, quality_rules, secrets, simhash
-from strata.llm.common import table
+from strata.llm import mixing, packing, quality_rules, repair, secrets, simhash
+from strata.llm.common import scratch, table
 
 
 def vocabulary() -> str:
@@ -41,6 +41,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    repair.write(table(spark, sf_dir, "documents"), path, vocabulary())
+    return repair.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -74,6 +82,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
+    "op3_token_files": op3_token_files,
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
