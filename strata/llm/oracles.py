@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import mixing, quality_rules
+from strata.llm import licenses, mixing, quality_rules, queries, sharding
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -132,7 +132,76 @@ LEFT JOIN fillers f ON r.source IS NOT DISTINCT FROM f.source
 """
 
 
+def _sharding() -> str:
+    """The table filled claim by claim, then looked up."""
+    shards = queries.SHARDS
+    size = sharding.prime_from(sharding.SLOTS_PER_SHARD * len(shards))
+    names = ", ".join(f"'{name}'" for name in shards)
+    first = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+    return rf"""
+WITH RECURSIVE prefs AS MATERIALIZED (
+    SELECT list({first.format("'offset:' || s")} % {size} ORDER BY n) AS offsets,
+           list({first.format("'skip:' || s")} % {size - 1} + 1 ORDER BY n) AS skips
+    FROM (SELECT unnest([{names}]) AS s, unnest(range({len(shards)})) AS n)
+), claims AS (
+    SELECT 0 AS claim, -1::BIGINT AS slot, [FALSE for i in range({size})] AS taken
+    UNION ALL
+    SELECT claim + 1, slot, list_transform(taken, lambda t, i: t OR i = slot + 1)
+    FROM (SELECT claim, taken, list_extract(list_filter(
+              [(offsets[claim % {len(shards)} + 1] + j * skips[claim % {len(shards)} + 1]) % {size}
+               for j in range({size})], lambda s: NOT taken[s + 1]), 1) AS slot
+          FROM claims, prefs WHERE claim < {size})
+), owners AS (
+    SELECT slot, ([{names}])[(claim - 1) % {len(shards)} + 1] AS shard FROM claims WHERE claim > 0
+), keyed AS (
+    SELECT doc_id, ({first.format("coalesce('=' || doc_id, '-')")} % {size})::INT AS shard_slot
+    FROM documents
+)
+SELECT doc_id, shard_slot, shard FROM keyed JOIN owners ON shard_slot = slot
+"""
+
+
+def _licenses() -> str:
+    def canonical(text: str) -> str:
+        made = f"lower(coalesce({text}, ''))"
+        steps = ((licenses.COPYRIGHT_LINE, "$1"), *licenses.SPELLINGS, (licenses.PUNCTUATION, " "))
+        for pattern, spelling in steps:
+            to = spelling.replace("$", "\\")
+            made = f"regexp_replace({made}, '{pattern}', '{to}', 'g')"
+        return made
+
+    def whole(canon: str) -> str:
+        return rf"trim(regexp_replace({canon}, '[ \n]+', ' ', 'g'))"
+
+    quoted = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''"))
+        for name, several in licenses.KNOWN.items()
+        for text in several
+    )
+    return rf"""
+WITH known AS (
+    SELECT md5({whole(canonical("t"))}) AS digest, min(name) AS license
+    FROM (VALUES {quoted}) v(name, t) GROUP BY 1
+), made AS (
+    SELECT row_number() OVER () AS rid, doc_id, {canonical("text")} AS canon FROM documents
+), lines AS (
+    SELECT rid, n, md5(trim(line)) AS digest
+    FROM (SELECT rid, unnest(string_split(canon, chr(10))) AS line,
+                 generate_subscripts(string_split(canon, chr(10)), 1) AS n FROM made)
+), notices AS (
+    SELECT rid, string_agg(license, ',' ORDER BY n) AS notices
+    FROM lines JOIN known USING (digest) GROUP BY rid
+), texts AS (
+    SELECT rid, doc_id, md5({whole("canon")}) AS digest FROM made
+)
+SELECT doc_id, digest, license, coalesce(notices, '') AS notices
+FROM texts LEFT JOIN known USING (digest) LEFT JOIN notices USING (rid)
+"""
+
+
 SQL: dict[str, str] = {
     "op2_mixing": _mixing(),
     "op8_quality_rules": _quality_rules(),
+    "op9_sharding": _sharding(),
+    "op10_licenses": _licenses(),
 }

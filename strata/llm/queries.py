@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, quality_rules, repair, secrets, simhash
+from strata.llm import (
+    licenses,
+    mixing,
+    packing,
+    quality_rules,
+    repair,
+    secrets,
+    sharding,
+    simhash,
+)
 from strata.llm.common import scratch, table
 
 
@@ -79,6 +88,26 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Shards of the production layout.
+SHARDS = [f"shard-{n:03d}" for n in range(64)]
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, ["doc_id"], SHARDS).select("doc_id", "shard_slot", "shard")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs)
+    return found.select(
+        "doc_id",
+        F.col("licenses.digest").alias("digest"),
+        F.col("licenses.license").alias("license"),
+        F.array_join("licenses.notices", ",").alias("notices"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -86,4 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_sharding": op9_sharding,
+    "op10_licenses": op10_licenses,
 }

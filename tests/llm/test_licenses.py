@@ -1,0 +1,58 @@
+import pytest
+
+from strata.llm import licenses
+
+MIT = licenses.KNOWN["MIT"][-1]
+ISC = licenses.KNOWN["ISC"][0]
+
+
+def wrap(text, width):
+    out, line = [], ""
+    for word in text.split():
+        if len(line) + len(word) > width:
+            out.append(line)
+            line = ""
+        line += (" " if line else "") + word
+    return "\n".join([*out, line])
+
+
+CASES = [
+    (MIT, "MIT", []),
+    (wrap(MIT.upper(), 40), "MIT", []),
+    ("Copyright (c) 2020 A. Person\n(c) 2021 Others\n\n" + wrap(MIT, 70), "MIT", []),
+    (MIT.replace("COPYRIGHT HOLDERS", "copyright\nowners").replace('"', "“"), "MIT", ["MIT"]),  # joined
+    (ISC, "ISC", []),
+    (MIT + " And more.", None, []),
+    ("Some text.\nLicenced under the Apache Licence, version 2.0\nmore", None, ["Apache-2.0"]),
+    ("Licensed under CC-BY-NC 4.0", "CC-BY-NC-4.0", ["CC-BY-NC-4.0"]),
+    ("Released under the\nMIT License.", "MIT", []),
+    ("a\nReleased under the MIT License.\nb\nLicensed under CC BY 4.0.", None, ["MIT", "CC-BY-4.0"]),
+    ("Released under the MIT License maybe.", None, []),
+    ("", None, []), (None, None, []), (" \n\n", None, []), ("copyright 2020 me", None, []),
+    ("word " * 60000 + "\nReleased under the MIT License.", None, ["MIT"]),
+]
+
+
+def test_cases(spark):
+    schema = "id int, text string, license string, notices int"
+    df = spark.createDataFrame([(i, c[0], "x", 1) for i, c in enumerate(CASES)], schema)
+    got = {r.id: r.licenses for r in licenses.scan(df).collect()}
+    for i, (text, license, notices) in enumerate(CASES):
+        # A text of one line is its own only line.
+        lines = [license] if license and text and "\n" not in text and not notices else notices
+        assert (got[i].license, got[i].notices) == (license, lines), text and text[:60]
+    assert licenses.scan(df.where("false")).count() == 0
+    assert set(df.columns) < set(licenses.scan(df).columns)
+    assert licenses.scan(df.union(df)).count() == 2 * len(CASES)
+
+
+def test_known_texts_are_told_apart(spark):
+    listed = licenses.known(spark).collect()
+    assert {r.license for r in listed} == set(licenses.KNOWN)
+
+
+@pytest.mark.parametrize("word", ["MapInArrow", "ArrowEvalPython", "BatchEvalPython", "Exchange hashpartitioning"])
+def test_plan_is_native_and_moves_no_document(spark, word):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert word not in plan.split("BroadcastExchange")[0]
