@@ -16,6 +16,7 @@ from strata.llm import (
     secrets,
     sharding,
     simhash,
+    url_filter,
 )
 from strata.llm.common import scratch, table
 
@@ -58,6 +59,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
+    "op4_url_filter": op4_url_filter,
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
