@@ -199,8 +199,25 @@ FROM texts LEFT JOIN known USING (digest) LEFT JOIN notices USING (rid)
 """
 
 
+_KDTREE = """
+WITH numbers AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM numbers q, numbers c
+    WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
 SQL: dict[str, str] = {
     "op2_mixing": _mixing(),
+    "op6_kdtree": _KDTREE,
     "op8_quality_rules": _quality_rules(),
     "op9_sharding": _sharding(),
     "op10_licenses": _licenses(),

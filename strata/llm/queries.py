@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    kdtree,
     licenses,
     mixing,
     packing,
@@ -72,6 +73,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return kdtree.search(vectors, vectors.where("vec_id % 100 = 0"), k=10).select(
+        "query_id", "rank", "vec_id", "score"
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
     return pieces.select(
@@ -121,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_url_filter": op4_url_filter,
     "op5_simhash": op5_simhash,
+    "op6_kdtree": op6_kdtree,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
