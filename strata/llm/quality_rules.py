@@ -164,4 +164,6 @@ def judge(
         outcome.alias("rules"),
         kept.alias("kept"),
     )
-    return measured.withColumn(into, verdict)
+    # Generated from an array of one, so that no filter on the verdict is pushed below the counts:
+    # there it would be put together from their expressions, and arrays made anew for each element.
+    return measured.withColumn(into, F.explode(F.array(verdict)))
