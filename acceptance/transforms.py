@@ -141,17 +141,47 @@ def xt_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checks.add("""
 SELECT user_id, event_id,
-       ROUND(SUM(value) OVER (PARTITION BY user_id, event_id // 10000 ORDER BY event_id
+       ROUND(SUM(value) OVER (PARTITION BY user_id ORDER BY event_id
                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS s3
 FROM events
 """)
 def xt_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding sum over a user's events within blocks of ten thousand event ids. The ids are
-    unique, so no window grows with the data, whatever a user's share of it."""
+    """Sliding sum over each user's events, whatever a user's share of them.
+
+    A window by user and block of ids is small. Its first rows also need the last two rows that
+    the user has before the block: of every block, the last two rows are carried to the next ones,
+    so that the window by user alone sees two rows a block. Carried rows don't come out.
+    """
     return Workspace(spark, sf_dir, "xt_running_sum").transform(
-        "SELECT user_id, event_id, ROUND(SUM(value) OVER ("
-        "PARTITION BY user_id, event_id DIV 10000 ORDER BY event_id "
-        "ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS s3 FROM events",
+        """
+        WITH rows_of AS (
+            SELECT user_id, event_id, value, event_id DIV 10000 AS block FROM events
+        ), tails AS (
+            SELECT user_id, event_id, value, block FROM (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, block
+                                             ORDER BY event_id DESC) AS from_end FROM rows_of)
+            WHERE from_end <= 2
+        ), before AS (
+            SELECT user_id, block,
+                   LAG(block, 1) OVER by_user AS last_block,
+                   LAG(STRUCT(event_id, value), 1) OVER by_user AS last,
+                   LAG(STRUCT(event_id, value), 2) OVER by_user AS second_last
+            FROM tails WINDOW by_user AS (PARTITION BY user_id ORDER BY event_id)
+        ), carried AS (
+            SELECT user_id, block, INLINE(FILTER(ARRAY(last, second_last), x -> x IS NOT NULL))
+                   AS (event_id, value)
+            FROM before WHERE last_block < block
+        ), all_rows AS (
+            SELECT user_id, block, event_id, value, FALSE AS is_carried FROM rows_of
+            UNION ALL SELECT user_id, block, event_id, value, TRUE FROM carried
+        )
+        SELECT user_id, event_id, s3 FROM (
+            SELECT user_id, event_id, is_carried, ROUND(SUM(value) OVER (
+                       PARTITION BY user_id, block ORDER BY event_id
+                       ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS s3
+            FROM all_rows)
+        WHERE NOT is_carried
+        """,
         "events",
     )
 

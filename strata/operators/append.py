@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from strata.operators.columns import aligned, by_lower_name
-from strata.operators.replace import finish_interrupted, replace_table, uses_delta
+from strata.operators.replace import finish_interrupted, replace_table, type_text, uses_delta
 from strata.site import Site, quote
 
 
@@ -29,7 +29,7 @@ def append(df: DataFrame, site: Site, schema: str, table: str) -> None:
     # Types are checked before the table is altered.
     aligned(df, spark.table(name).schema, fill_missing=True)
     if added:
-        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in added)
+        columns = ", ".join(f"{quote(f.name)} {type_text(f.dataType)}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     rows = df.select(*aligned(df, spark.table(name).schema, fill_missing=True))
     rows.write.insertInto(name)

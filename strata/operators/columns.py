@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 from strata.site import quote
 
-_WIDENING = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+_INTEGRALS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Whole numbers that a float (24 bits) and a double (53 bits) hold without loss.
+_EXACT_IN = {
+    T.FloatType: (T.ByteType, T.ShortType),
+    T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType, T.FloatType),
+}
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
 
 
@@ -26,9 +31,22 @@ def can_widen(source: T.DataType, target: T.DataType) -> bool:
         else:
             whole, scale = _INTEGRAL_DIGITS.get(type(source), 99), 0
         return whole <= target.precision - target.scale and scale <= target.scale
-    if type(source) in _WIDENING and type(target) in _WIDENING:
-        return _WIDENING.index(type(source)) <= _WIDENING.index(type(target))
-    return False
+    if type(source) in _INTEGRALS and type(target) in _INTEGRALS:
+        return _INTEGRALS.index(type(source)) <= _INTEGRALS.index(type(target))
+    return type(source) in _EXACT_IN.get(type(target), ())
+
+
+def can_narrow(source: T.DataType, target: T.DataType) -> bool:
+    """True for whole numbers into a smaller type, where a value that doesn't fit is an error."""
+    return type(source) in _INTEGRALS and type(target) in _INTEGRALS
+
+
+def _narrowed(column: Column, target: T.DataType, name: str) -> Column:
+    cast = column.try_cast(target)
+    overflow = F.raise_error(
+        F.concat(F.lit(f"Column {name}: "), column.cast("string"), F.lit(f" overflows {target.simpleString()}."))
+    )
+    return F.when(cast.isNotNull() | column.isNull(), cast).otherwise(overflow.cast(target))
 
 
 def by_lower_name(schema: T.StructType) -> dict[str, T.StructField]:
@@ -39,10 +57,13 @@ def by_lower_name(schema: T.StructType) -> dict[str, T.StructField]:
     return fields
 
 
-def aligned(df: DataFrame, target: T.StructType, fill_missing: bool) -> list[Column | str]:
+def aligned(
+    df: DataFrame, target: T.StructType, fill_missing: bool, narrow: bool = False
+) -> list[Column | str]:
     """Columns of ``df`` under the target's names, types and order.
 
-    Target columns that ``df`` lacks are NULL or left out.
+    Target columns that ``df`` lacks are NULL or left out. With ``narrow``, whole numbers may go
+    into a smaller type, and one that doesn't fit fails the job.
     """
     incoming = by_lower_name(df.schema)
     columns: list[Column | str] = []
@@ -52,12 +73,15 @@ def aligned(df: DataFrame, target: T.StructType, fill_missing: bool) -> list[Col
             if fill_missing:
                 columns.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
+        name = quote(source.name)
         if not can_widen(source.dataType, field.dataType):
+            if narrow and can_narrow(source.dataType, field.dataType):
+                columns.append(_narrowed(F.col(name), field.dataType, field.name).alias(field.name))
+                continue
             raise ValueError(
                 f"Column {field.name}: cannot store {source.dataType.simpleString()} "
                 f"as {field.dataType.simpleString()}."
             )
-        name = quote(source.name)
         if source == field:
             columns.append(name)
         else:

@@ -31,4 +31,4 @@ def delete_where(
     if spark.sql(f"SELECT 1 FROM {name} WHERE {predicate}", args=args).isEmpty():
         return
     kept = f"SELECT * FROM {name} WHERE NOT coalesce(({predicate}), false)"
-    replace_table(spark.sql(kept, args=args), site, schema, table)
+    replace_table(spark.sql(kept, args=args), site, schema, table, keep_layout=True)

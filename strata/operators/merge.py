@@ -77,7 +77,7 @@ def merge(
     unknown = [f.name for f in df.schema if f.name.lower() not in by_lower_name(columns)]
     if unknown:
         raise ValueError(f"Columns not in {name}: {', '.join(unknown)}.")
-    changes = df.select(*aligned(df, columns, fill_missing=False))
+    changes = df.select(*aligned(df, columns, fill_missing=False, narrow=True))
     if spark.table(name).isEmpty():
         append(changes, site, schema, table)
         return
@@ -100,7 +100,7 @@ def merge(
             rewritten = _updated(target, joinable, keys, update_columns)
             inserted = unmatched.unionByName(single.join(matched.distinct(), keys, "left_anti"))
             rows = inserted.select(*aligned(inserted, columns, fill_missing=True))
-            replace_table(rewritten.unionByName(rows), site, schema, table)
+            replace_table(rewritten.unionByName(rows), site, schema, table, keep_layout=True)
     finally:
         remove_folder(spark, staging)
 

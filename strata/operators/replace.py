@@ -3,20 +3,40 @@
 A rewrite goes to a fresh folder next to the table, and the table is then pointed at it. The
 previous contents stay readable while the rewrite runs, so it may read the table it replaces,
 and a failed job leaves the table as it was. No file is ever moved, which matters on object
-stores where a rename copies.
+stores where a rename copies. The version before stays on disk until the next rewrite, so that
+who still reads it can finish.
+
+Where the table must be dropped and created again, the finished rewrite is registered first, as a
+stage: a table with a name of its own whose property says which table it will become. Only tables
+with that property are ever taken for a stage.
 """
 
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.types import StructField, StructType
 
 from strata.operators.columns import by_lower_name
-from strata.site import Site
+from strata.site import Site, quote
+
+STAGE_MARK = "__strata_stage_"
+#: Properties that this module sets: the table that a stage replaces; the version before.
+REPLACES = "strata.replaces"
+PREVIOUS = "strata.previous"
+
 
-STAGE_SUFFIX = "__stage"
+class Layout(NamedTuple):
+    """What a table keeps when its rows are rewritten."""
+
+    provider: str
+    partitions: list[str]
+    comment: str
+    properties: dict[str, str]
+    options: dict[str, str]
 
 
 def table_details(spark: SparkSession, name: str) -> dict[str, str]:
@@ -47,68 +67,204 @@ def remove_folder(spark: SparkSession, location: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def replace_table(df: DataFrame, site: Site, schema: str, table: str) -> None:
-    """FULL load: rows and schema of the table become those of ``df``."""
+def text_literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _layout(spark: SparkSession, name: str) -> Layout:
+    details = table_details(spark, name)
+    shown = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    own = {row.key: row.value for row in shown if row.key not in (REPLACES, PREVIOUS)}
+    listed = details.get("Storage Properties", "").strip("[]")
+    options = dict(x.split("=", 1) for x in listed.split(", ") if "=" in x)
+    internal = ("serialization.", "path")
+    options = {key: value for key, value in options.items() if not key.startswith(internal)}
+    # DESCRIBE names the partition columns in order below their heading.
+    rows = [row.col_name for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    partitions = []
+    if "# Partition Information" in rows:
+        for column in rows[rows.index("# Partition Information") + 2 :]:
+            if not column or column.startswith("#"):
+                break
+            partitions.append(column)
+    return Layout(details["Provider"].lower(), partitions, details.get("Comment", ""), own, options)
+
+
+def _create(
+    spark: SparkSession, name: str, columns: StructType, layout: Layout, extra: dict[str, str], location: str = ""
+) -> None:
+    listed = ", ".join(f"{quote(f.name)} {type_text(f.dataType)}" for f in columns)
+    pairs = lambda some: ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in some.items())
+    properties = layout.properties | extra
+    spark.sql(
+        f"CREATE TABLE {name} ({listed}) USING {layout.provider}"
+        + (f" OPTIONS ({pairs(layout.options)})" if layout.options else "")
+        + (f" PARTITIONED BY ({', '.join(map(quote, layout.partitions))})" if layout.partitions else "")
+        + (f" COMMENT {text_literal(layout.comment)}" if layout.comment else "")
+        + (f" TBLPROPERTIES ({pairs(properties)})" if properties else "")
+        + (f" LOCATION {text_literal(location)}" if location else "")
+    )
+
+
+def type_text(kind: T.DataType) -> str:
+    """The type as SQL spells it, with any nested name."""
+    if isinstance(kind, T.StructType):
+        return "STRUCT<" + ", ".join(f"{quote(f.name)}: {type_text(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{type_text(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"MAP<{type_text(kind.keyType)}, {type_text(kind.valueType)}>"
+    return kind.simpleString()
+
+
+def replace_table(
+    df: DataFrame, site: Site, schema: str, table: str, keep_layout: bool = False
+) -> None:
+    """FULL load: rows and schema of the table become those of ``df``.
+
+    With ``keep_layout``, for rewrites of a table's own rows, its format, options and partitioning
+    stay too. Comment and properties always do.
+    """
     spark, name = df.sparkSession, site.table(schema, table)
     if site.table_format == "delta" or uses_delta(spark, site, name):
         writer = df.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
         writer.saveAsTable(name)
         return
-    by_lower_name(df.schema)
+    known = by_lower_name(df.schema)
     finish_interrupted(spark, site, schema, table)
+    layout = Layout(site.table_format, [], "", {}, {})
+    if spark.catalog.tableExists(name):
+        before = _layout(spark, name)
+        if keep_layout:
+            layout = before
+        else:
+            kept = [c for c in before.partitions if c.lower() in known and len(known) > len(before.partitions)]
+            same = before.provider == site.table_format
+            layout = before._replace(
+                provider=site.table_format,
+                partitions=kept if kept == before.partitions else [],
+                options=before.options if same else {},
+            )
     location = new_location(spark, site, schema, table)
     try:
-        df.write.format(site.table_format).save(location)
+        writer = df.write.format(layout.provider).options(**layout.options)
+        if layout.partitions:
+            writer = writer.partitionBy(*layout.partitions)
+        writer.save(location)
     except Exception:
         remove_folder(spark, location)
         raise
-    _point(spark, site, schema, table, location, df.schema)
+    _point(spark, site, schema, table, location, df.schema, layout)
 
 
 def _point(
-    spark: SparkSession, site: Site, schema: str, table: str, location: str, columns: StructType
+    spark: SparkSession,
+    site: Site,
+    schema: str,
+    table: str,
+    location: str,
+    columns: StructType,
+    layout: Layout,
 ) -> None:
     name = site.table(schema, table)
+    exists = spark.catalog.tableExists(name)
     nullable = StructType([StructField(f.name, f.dataType) for f in columns])
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, source=site.table_format, schema=nullable)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    if not exists:
+        _create(spark, name, nullable, layout, {})
+        _set_location(spark, name, location)
         return
-    before = table_details(spark, name)
-    fits = _same_columns(spark.table(name).schema, columns) and "Partitioned" not in before
-    if fits and before["Provider"].lower() == site.table_format:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        if before["Type"] == "MANAGED":
-            remove_folder(spark, before["Location"])
+    details, before = table_details(spark, name), _layout(spark, name)
+    managed = details["Type"] == "MANAGED"
+    older = _property(spark, name, PREVIOUS)
+    fits = _same_columns(spark.table(name).schema, columns) and before.provider == layout.provider
+    if fits and not before.partitions and not layout.partitions:
+        _set_location(spark, name, location)
+        if managed:
+            _set_property(spark, name, PREVIOUS, details["Location"])
+    else:
+        # Columns and partitions cannot be changed in place. The finished rewrite is registered
+        # first, so that a driver lost between the drop and the create loses nothing.
+        stage = site.table(schema, f"{table}{STAGE_MARK}{uuid.uuid4().hex[:12]}")
+        ordered = _partitions_last(nullable, layout.partitions)
+        marks = {REPLACES: table}
+        if managed and not before.partitions and _is_own(details["Location"], table):
+            marks[PREVIOUS] = details["Location"]
+        _create(spark, stage, ordered, layout, marks, location)
+        if older and managed:
+            # A table's first folder has the place that the catalog wants for a new one.
+            remove_folder(spark, older)
+        _promote(spark, site, schema, table, stage)
         return
-    # Columns cannot be dropped or retyped in place. The finished rewrite is registered under
-    # the stage name first, so that a driver lost between the drop and the create loses nothing.
-    stage = site.table(schema, table + STAGE_SUFFIX)
-    spark.catalog.createTable(stage, path=location, source=site.table_format, schema=nullable)
-    _promote(spark, site, schema, table)
-
-
-def _promote(spark: SparkSession, site: Site, schema: str, table: str) -> None:
-    """Turn the registered stage into the table. Every step may be repeated."""
-    name, stage = site.table(schema, table), site.table(schema, table + STAGE_SUFFIX)
-    staged = table_details(spark, stage)
-    if not (
-        spark.catalog.tableExists(name)
-        and table_details(spark, name)["Location"] == staged["Location"]
-    ):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(
-            name, source=staged["Provider"], schema=spark.table(stage).schema
-        )
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{staged['Location']}'")
+    if older and managed:
+        remove_folder(spark, older)
+
+
+def _is_own(location: str, table: str) -> bool:
+    """Whether the folder is one that new_location named."""
+    return location.rstrip("/").rsplit("/", 1)[-1].startswith(f"{table}-")
+
+
+def _partitions_last(columns: StructType, partitions: list[str]) -> StructType:
+    chosen = {name.lower(): n for n, name in enumerate(partitions)}
+    last = sorted((f for f in columns if f.name.lower() in chosen), key=lambda f: chosen[f.name.lower()])
+    return StructType([f for f in columns if f.name.lower() not in chosen] + last)
+
+
+def _set_location(spark: SparkSession, name: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {text_literal(location)}")
+
+
+def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({text_literal(key)} = {text_literal(value)})")
+
+
+def _property(spark: SparkSession, name: str, key: str) -> str:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((row.value for row in rows if row.key == key), "")
+
+
+def _promote(spark: SparkSession, site: Site, schema: str, table: str, stage: str) -> None:
+    """Turn a registered stage into the table. Every step may be repeated."""
+    name = site.table(schema, table)
+    staged, layout = table_details(spark, stage)["Location"], _layout(spark, stage)
+    previous = _property(spark, stage, PREVIOUS)
+    exists = spark.catalog.tableExists(name)
+    if not exists or table_details(spark, name)["Location"] != staged:
+        if exists and previous:
+            # Dropped from elsewhere, the version before keeps its files.
+            _set_location(spark, name, new_location(spark, site, schema, table))
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
+        kept = {PREVIOUS: previous} if previous else {}
+        _create(spark, name, spark.table(stage).schema, layout, kept)
+        _set_location(spark, name, staged)
+    if layout.partitions:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     # The stage is an external table: dropping it leaves the files to the new owner.
     spark.sql(f"DROP TABLE {stage}")
 
 
+def drop_with_files(spark: SparkSession, site: Site, schema: str, table: str) -> None:
+    """Drop a table with the version before, if there is one."""
+    name = site.table(schema, table)
+    if not spark.catalog.tableExists(name):
+        return
+    managed = table_details(spark, name).get("Type") == "MANAGED"
+    previous = _property(spark, name, PREVIOUS) if managed else ""
+    spark.sql(f"DROP TABLE {name}")
+    if previous:
+        remove_folder(spark, previous)
+
+
 def finish_interrupted(spark: SparkSession, site: Site, schema: str, table: str) -> None:
     """Complete a replacement whose driver died after its rewrite was registered."""
-    if spark.catalog.tableExists(site.table(schema, table + STAGE_SUFFIX)):
-        _promote(spark, site, schema, table)
+    shown = spark.sql(f"SHOW TABLES IN {site.schema(schema)} LIKE '*{STAGE_MARK}*'").collect()
+    for row in shown:
+        if not row.isTemporary and row.tableName.lower().startswith(f"{table}{STAGE_MARK}".lower()):
+            stage = site.table(schema, row.tableName)
+            if _property(spark, stage, REPLACES).lower() == table.lower():
+                _promote(spark, site, schema, table, stage)
 
 
 def _same_columns(left: StructType, right: StructType) -> bool:

@@ -1,25 +1,28 @@
-"""The audit log: one row per target and run."""
+"""The audit log: one row per target and run.
+
+On file tables each row is written to a folder of its own below the table, which lists folders
+recursively. Writers, also of other drivers, share no file and need no lock.
+"""
 
 from __future__ import annotations
 
 import logging
-import threading
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import group_key
-from strata.schemas import AUDIT_TABLE, GROUP
+from strata.operators.replace import table_details
+from strata.schemas import AUDIT, AUDIT_TABLE, GROUP
 from strata.site import Site
 
 log = logging.getLogger(__name__)
 
+#: Characters of a message in the audit log.
 MESSAGE_LIMIT = 400
 
-# Writers of one folder share its temporary subfolder, so concurrent loads take turns.
-_turn = threading.Lock()
-
 
 def record(
     spark: SparkSession,
@@ -35,35 +38,40 @@ def record(
 ) -> None:
     """Add one row. A failure to do so is logged and does not fail the load."""
     try:
-        with _turn:
-            spark.sql(
-                f"INSERT INTO {site.on(spark).control(AUDIT_TABLE)} "
-                "SELECT :group, :table, :layer, :status, CAST(:rows AS BIGINT), :message, "
-                ":started, :ended, current_timestamp()",
-                args={
-                    "group": group,
-                    "table": table,
-                    "layer": layer,
-                    "status": status,
-                    "rows": rows,
-                    "message": str(message)[:MESSAGE_LIMIT],
-                    "started": started,
-                    "ended": ended,
-                },
-            )
-    except Exception as error:
-        log.warning("audit write failed for %s: %s", table, error)
+        name = site.on(spark).control(AUDIT_TABLE)
+        values = (group, table, layer, status, rows, str(message)[:MESSAGE_LIMIT], started, ended)
+        named = dict(zip(AUDIT.names, values))
+        listed = (
+            f"CAST(:{f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in AUDIT if f.name in named
+        )
+        row = spark.sql(f"SELECT {', '.join(listed)}, current_timestamp() AS LOAD_TS", args=named)
+        details = table_details(spark, name)
+        if "recursivefilelookup" in details.get("Storage Properties", "").lower():
+            folder = f"{details['Location'].rstrip('/')}/run-{uuid.uuid4().hex}"
+            row.write.format(details["Provider"].lower()).save(folder)
+            spark.catalog.refreshTable(name)
+        else:
+            row.write.insertInto(name)
+    except Exception:
+        log.warning("audit write failed for %s", table, exc_info=True)
+
+
+def _rows(spark: SparkSession, site: Site) -> DataFrame:
+    """The log as it is now, with what other drivers have written."""
+    name = site.on(spark).control(AUDIT_TABLE)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def history(spark: SparkSession, group_id: str, site: Site = Site()) -> DataFrame:
     """Audit rows of a group, newest first."""
-    rows = spark.table(site.on(spark).control(AUDIT_TABLE))
+    rows = _rows(spark, site)
     return rows.where(F.col(GROUP) == F.lit(group_key(group_id))).orderBy(F.desc("LOAD_TS"))
 
 
 def summary(spark: SparkSession, group_id: str | None = None, site: Site = Site()) -> DataFrame:
     """Loads that succeeded and failed per layer, of one group or of all."""
-    rows = spark.table(site.on(spark).control(AUDIT_TABLE))
+    rows = _rows(spark, site)
     if group_id:
         rows = rows.where(F.col(GROUP) == F.lit(group_key(group_id)))
     ok, failed = F.count_if(F.expr("STATUS = 'SUCCESS'")), F.count_if(F.expr("STATUS = 'FAILED'"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from strata.operators import delete_where
+from strata.operators.replace import drop_with_files
 from strata.plans.config import all_targets
 from strata.schemas import AUDIT_TABLE, DETAIL_TABLES, GROUP, HEADER_TABLE
 from strata.site import Site
@@ -18,7 +19,7 @@ def drop_targets(
     dropped = []
     for row in all_targets(spark, layer, group_id, site).distinct().collect():
         if row.TARGET_SCHEMA and row.TARGET_TABLE:
-            spark.sql(f"DROP TABLE IF EXISTS {site.table(row.TARGET_SCHEMA, row.TARGET_TABLE)}")
+            drop_with_files(spark, site, row.TARGET_SCHEMA, row.TARGET_TABLE)
             dropped.append(f"{row.TARGET_SCHEMA}.{row.TARGET_TABLE}")
     return sorted(dropped)
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField, StructType
 
 from strata.functions import first_filled, group_key, or_default, stripped
 from strata.operators.merge import merge
-from strata.schemas import CONTROL_TABLES, DETAIL_TABLES, GROUP, HEADER_TABLE
+from strata.schemas import AUDIT_TABLE, CONTROL_TABLES, DETAIL_TABLES, GROUP, HEADER_TABLE
 from strata.site import Site
 
 # Columns an upsert may change in a row that exists already.
@@ -40,9 +40,12 @@ def install(spark: SparkSession, site: Site = Site()) -> list[str]:
             f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
             for f in schema
         )
+        # Writers of the audit log each have a folder of their own below it.
+        own_folders = table == AUDIT_TABLE and site.table_format != "delta"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {site.control(table)} ({columns}) "
             f"USING {site.table_format}"
+            + (" OPTIONS (recursiveFileLookup 'true')" if own_folders else "")
         )
     shown = spark.sql(f"SHOW TABLES IN {site.schema(site.admin)}").collect()
     return sorted(row.tableName for row in shown if not row.isTemporary)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -24,8 +25,12 @@ from strata.sources import read_source
 
 log = logging.getLogger(__name__)
 
+#: Characters of an error's text in the audit log; the whole error goes to the program's log.
 ERROR_TEXT_LIMIT = 300
 
+# The current catalog and schema belong to the session, so queries are resolved one at a time.
+_resolving = threading.RLock()
+
 
 class LoadResult(NamedTuple):
     layer: str
@@ -51,7 +56,8 @@ def run_group(
 
     The suffix of the group id names the layer; without one, L0, L1 and L2 run in turn and a
     failed layer stops the ones after it. ``parallelism`` is the number of a layer's targets
-    that load at the same time; more than one needs targets that do not read each other.
+    that load at the same time, all in the caller's session; more than one needs targets that do
+    not read each other. Rows with the same target load in turn.
     """
     group = group_key(group_id)
     site = site.on(spark)
@@ -78,14 +84,20 @@ def run_layer(
     if not rows:
         log.info("No loads for %s in %s", group, layer)
         return []
-    load = partial(_load, group=group, layer=layer, env=env, site=site)
-    if parallelism > 1:
-        jobs = [partial(load, _session_like(spark), row) for row in rows]
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            pending = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
-            results = [job.result() for job in pending]
-    else:
-        results = [load(spark, row) for row in rows]
+    load = partial(_load, spark, group=group, layer=layer, env=env, site=site)
+    by_target: dict[tuple, list[int]] = {}
+    for place, row in enumerate(rows):
+        target = ((row.TARGET_SCHEMA or "").lower(), (row.TARGET_TABLE or "").lower())
+        by_target.setdefault(target, []).append(place)
+
+    def load_in_turn(places: list[int]) -> list[tuple[int, LoadResult]]:
+        return [(place, load(rows[place])) for place in places]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        turn = inheritable_thread_target(spark)(load_in_turn)
+        pending = [pool.submit(turn, places) for places in by_target.values()]
+        done = sorted(pair for job in pending for pair in job.result())
+    results = [result for _, result in done]
     if any(result.status == "FAILED" for result in results):
         failed = ", ".join(r.table for r in results if r.status == "FAILED")
         raise LayerFailed(f"{layer} of {group} had failures ({failed}); see the audit log.")
@@ -105,7 +117,9 @@ def _load(
         status, message = "SUCCESS", f"{count:,} rows"
     except Exception as error:
         message = f"{type(error).__name__}: {str(error)[:ERROR_TEXT_LIMIT]}"
-        log.warning("%s %s.%s failed: %s", layer, row.TARGET_SCHEMA, row.TARGET_TABLE, message)
+        log.warning(
+            "%s %s.%s failed", layer, row.TARGET_SCHEMA, row.TARGET_TABLE, exc_info=error
+        )
     finally:
         audit.record(
             spark,
@@ -142,27 +156,20 @@ def query_in(spark: SparkSession, query: str, schema: str, site: Site) -> DataFr
 
 @contextmanager
 def _namespace(spark: SparkSession, site: Site, schema: str) -> Iterator[None]:
-    catalog, database = spark.catalog.currentCatalog(), spark.catalog.currentDatabase()
-    try:
-        spark.catalog.setCurrentCatalog(site.catalog)
-        if schema and spark.catalog.databaseExists(site.schema(schema)):
-            spark.sql(f"USE {site.schema(schema)}")
-        yield
-    finally:
-        spark.catalog.setCurrentCatalog(catalog)
-        spark.sql(f"USE {quote(catalog, database)}")
+    """Names resolve here while it holds; a frame that is made meanwhile stays resolved."""
+    with _resolving:
+        catalog, database = spark.catalog.currentCatalog(), spark.catalog.currentDatabase()
+        try:
+            spark.catalog.setCurrentCatalog(site.catalog)
+            if schema and spark.catalog.databaseExists(site.schema(schema)):
+                spark.sql(f"USE {site.schema(schema)}")
+            yield
+        finally:
+            spark.catalog.setCurrentCatalog(catalog)
+            spark.sql(f"USE {quote(catalog, database)}")
 
 
 def add_lineage(df: DataFrame, group: str, layer: str, env: str) -> DataFrame:
     """Stamp the rows; a column of the same name is replaced where it stands."""
     values = (F.lit(group), F.lit(layer), F.lit(env), F.current_timestamp())
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
-
-
-def _session_like(spark: SparkSession) -> SparkSession:
-    """A session with its own current schema and temporary views, and the same settings."""
-    session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(key):
-            session.conf.set(key, value)
-    return session

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import re
+import logging
+from graphlib import CycleError, TopologicalSorter
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import group_key, layer_of
 from strata.operators import replace_table
+from strata.operators.replace import text_literal
 from strata.plans.config import active_views
 from strata.plans.runner import query_in
-from strata.site import Site
+from strata.site import Site, quote
 
-_CREATE_VIEW = re.compile(r"\A\s*create\s+or\s+replace\s+view\s+[\w.`]+\s+as\s+", re.IGNORECASE)
+log = logging.getLogger(__name__)
+
+
+class PublishFailed(RuntimeError):
+    """Some datasets could not be rebuilt; the others were."""
 
 
 def setting(spark: SparkSession, key: str, default: str = "") -> str:
@@ -25,12 +32,63 @@ def setting(spark: SparkSession, key: str, default: str = "") -> str:
     return default.upper()
 
 
-def to_select(query: str, name: str) -> str:
-    """The SELECT of a row's query, out of its CREATE OR REPLACE VIEW where it has one."""
-    select = _CREATE_VIEW.sub("", query, count=1).strip()
-    if not select.upper().startswith("SELECT"):
-        raise ValueError(f"'{name}': TRANSFORMATION_QUERY must be a SELECT, found: {select[:120]}")
-    return select
+_PLANS = "org.apache.spark.sql.catalyst.plans.logical"
+# Spark's expressions that hold a query.
+_SUBQUERIES = ("ScalarSubquery", "ListQuery", "Exists", "LateralSubquery")
+
+
+def _items(sequence) -> list:
+    """The elements of a Scala sequence."""
+    return [sequence.apply(k) for k in range(sequence.length())]
+
+
+def _parsed(spark: SparkSession, query: str):
+    return spark._jsparkSession.sessionState().sqlParser().parsePlan(query.strip().rstrip(";"))
+
+
+def to_select(spark: SparkSession, query: str, name: str) -> str:
+    """A row's query, out of its CREATE VIEW where it has one. Spark's parser tells which."""
+    plan = _parsed(spark, query)
+    kind = plan.getClass().getSimpleName()
+    if kind == "CreateView":
+        inner = plan.originalText().get()
+        columns = [column._1() for column in _items(plan.userSpecifiedColumns())]
+        if columns:
+            listed = ", ".join(quote(column) for column in columns)
+            return f"SELECT * FROM ({inner}) AS `_view` ({listed})"
+        return inner
+    gateway = spark.sparkContext._gateway
+    if any(is_instance_of(gateway, plan, f"{_PLANS}.{name}") for name in ("Command", "ParsedStatement")):
+        raise ValueError(f"'{name}' needs a query that returns rows, not {kind}.")
+    return query.strip().rstrip(";")
+
+
+def reads(spark: SparkSession, query: str) -> set[str]:
+    """Names that a query reads, lower-case, as they are written (schema.table or table)."""
+    found: set[str] = set()
+    own: set[str] = set()
+
+    def visit(plan) -> None:
+        kind = plan.getClass().getSimpleName()
+        if kind == "UnresolvedRelation":
+            found.add(".".join(_items(plan.multipartIdentifier())).lower())
+        elif kind == "UnresolvedWith":
+            for named in _items(plan.cteRelations()):
+                own.add(named._1().lower())
+                visit(named._2())
+        for child in _items(plan.children()):
+            visit(child)
+        for expression in _items(plan.expressions()):
+            visit_expression(expression)
+
+    def visit_expression(expression) -> None:
+        if expression.getClass().getSimpleName() in _SUBQUERIES:
+            visit(expression.plan())
+        for child in _items(expression.children()):
+            visit_expression(child)
+
+    visit(_parsed(spark, query))
+    return found - own
 
 
 def plan(spark: SparkSession, group_id: str, site: Site = Site()) -> DataFrame:
@@ -76,21 +134,49 @@ def publish(
         return (value or default).strip()
 
     # Every query is checked before the first dataset is touched.
-    datasets = [
-        (row, to_select(field(row.query), field(row.tgt_table)))
-        for row in rows
-        if field(row.tgt_table) and field(row.query)
-    ]
-    published = []
-    for row, select in datasets:
+    datasets = {}
+    for row in rows:
+        if field(row.tgt_table) and field(row.query):
+            key = f"{field(row.tgt_schema, 'gold')}.{field(row.tgt_table)}".lower()
+            datasets[key] = (row, to_select(spark, field(row.query), field(row.tgt_table)))
+    needs = {
+        key: _needs(spark, select, field(row.src_schema), datasets.keys() - {key})
+        for key, (row, select) in datasets.items()
+    }
+    try:
+        order = list(TopologicalSorter(needs).static_order())
+    except CycleError as error:
+        raise ValueError(f"Datasets read each other: {', '.join(error.args[1])}") from error
+    published: list[str] = []
+    failed: dict[str, Exception | None] = {}
+    for key in order:
+        row, select = datasets[key]
+        if needs[key] & failed.keys():
+            failed[key] = None
+            continue
         source_schema, schema = field(row.src_schema), field(row.tgt_schema, "gold")
         table = field(row.tgt_table)
-        site.create_schema(spark, schema)
-        replace_table(query_in(spark, select, source_schema, site), site, schema, table)
-        name = site.table(schema, table)
-        source = f"{site.catalog}.{source_schema}.{field(row.src_table)}"
-        comment = f"GROUP_ID={group} | {source} -> {site.catalog}.{schema}.{table}"
-        spark.sql(f"COMMENT ON TABLE {name} IS :comment", args={"comment": comment})
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{schema}')")
-        published.append(f"{schema}.{table}")
+        try:
+            site.create_schema(spark, schema)
+            replace_table(query_in(spark, select, source_schema, site), site, schema, table)
+            name = site.table(schema, table)
+            source = f"{site.catalog}.{source_schema}.{field(row.src_table)}"
+            comment = f"GROUP_ID={group} | {source} -> {site.catalog}.{schema}.{table}"
+            spark.sql(f"COMMENT ON TABLE {name} IS :comment", args={"comment": comment})
+            quality = text_literal(schema)
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = {quality})")
+            published.append(f"{schema}.{table}")
+        except Exception as error:
+            log.warning("view %s failed", key, exc_info=error)
+            failed[key] = error
+    if failed:
+        first = next(error for error in failed.values() if error)
+        raise PublishFailed(f"Not rebuilt: {', '.join(failed)}; first cause: {first}") from first
     return published
+
+
+def _needs(spark: SparkSession, select: str, source_schema: str, known: set[str]) -> set[str]:
+    """The datasets among ``known`` that a query reads."""
+    written = reads(spark, select)
+    names = {name if "." in name else f"{source_schema}.{name}".lower() for name in written}
+    return {key for key in known if any(name == key or name.endswith(f".{key}") for name in names)}

@@ -12,14 +12,18 @@ TABLES = (
 ).split()
 
 
-@pytest.fixture(scope="module")
-def oracle():
+def tables_at(scale):
     connection = duckdb.connect()
     for table in TABLES:
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SCALE}/{table}.parquet'")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{scale}/{table}.parquet'")
     return connection
 
 
+@pytest.fixture(scope="module")
+def oracle():
+    return tables_at(SCALE)
+
+
 def test_every_query_has_its_sql():
     assert all(name in entry.oracle_sql() for name in entry.CHECKS)
 
@@ -28,15 +32,20 @@ def test_entry_returns_rows(spark):
     assert not entry.entry(spark).isEmpty()
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["src_csv", "src_json", "load_append_evolve", "load_merge", "delete_where", "gold_view",
-     "cfg_normalise", "cfg_export", "audit_summary", "run_failure_isolated"],
-)
-def test_query_agrees_with_its_sql(spark, oracle, name):
-    df = entry.queries()[name](spark, SCALE)
-    cursor = oracle.execute(entry.oracle_sql()[name])
+def agree(spark, connection, scale, name):
+    df = entry.queries()[name](spark, scale)
+    cursor = connection.execute(entry.oracle_sql()[name])
     names = [column[0] for column in cursor.description]
     assert sorted(names) == sorted(df.columns)
     expected = sorted((tuple(row) for row in cursor.fetchall()), key=repr)
     assert sorted((tuple(row) for row in df.select(*names).collect()), key=repr) == expected
+
+
+@pytest.mark.parametrize("name", sorted(entry.CHECKS))
+def test_query_agrees_with_its_sql(spark, oracle, name):
+    agree(spark, oracle, SCALE, name)
+
+
+def test_running_sum_at_a_scale_of_many_blocks(spark):
+    scale = "/root/testdata/sf0.1"
+    agree(spark, tables_at(scale), scale, "xt_running_sum")

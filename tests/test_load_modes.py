@@ -37,7 +37,7 @@ def test_full_replaces_rows_and_schema(load, table, rows, site, silver):
     assert load("SELECT 5L AS c", " full ") == 1
     assert table().dtypes == [("c", "bigint")]
     assert rows(table()) == [(5,)]
-    assert len(folders(site, silver)) == 1
+    assert len(folders(site, silver)) == 2
 
 
 @pytest.mark.parametrize("load_type", ["FULL", "", None, "  ", "WHATEVER", "DELTA"])
@@ -76,7 +76,7 @@ def test_empty_frame_keeps_its_schema(load, table):
 def test_dropping_a_target_removes_its_files(spark, load, site, silver):
     load("SELECT id FROM range(3)")
     load("SELECT id FROM range(4)")
-    spark.sql(f"DROP TABLE {site.table(silver, 't')}")
+    replacing.drop_with_files(spark, site, silver, "t")
     assert folders(site, silver) == []
     assert load("SELECT 'x' AS again") == 1
 
@@ -86,11 +86,14 @@ def test_interrupted_schema_change_is_finished(
     spark, load, table, rows, site, silver, lost_after
 ):
     load("SELECT id FROM range(3)")
-    name, stage = site.table(silver, "t"), site.table(silver, "t__stage")
+    name, stage = site.table(silver, "t"), site.table(silver, "t__strata_stage_0f")
     location = replacing.new_location(spark, site, silver, "t")
     new = spark.sql("SELECT 'new' AS v")
     new.write.parquet(location)
-    spark.catalog.createTable(stage, path=location, source="parquet", schema=new.schema)
+    spark.sql(
+        f"CREATE TABLE {stage} (v STRING) USING parquet "
+        f"TBLPROPERTIES ('{replacing.REPLACES}' = 't') LOCATION '{location}'"
+    )
     if lost_after in ("drop", "create"):
         spark.sql(f"DROP TABLE {name}")
     if lost_after == "create":
@@ -234,7 +237,7 @@ def test_merge_evaluates_its_source_once(load, table, rows):
 def test_merge_leaves_nothing_behind(spark, load, site, silver):
     for _ in range(3):
         load("SELECT id AS k FROM range(5)", "MERGE", "k")
-    assert len(folders(site, silver)) == 1
+    assert len(folders(site, silver)) == 2  # and the version before
     shared = spark.conf.get("spark.checkpoint.dir", None)
     places = [shared] if shared else []
     assert not [n for p in places for n in os.listdir(p) if n.startswith("t-changes-")]
@@ -334,63 +337,77 @@ def test_partitioned_target_keeps_its_rows(spark, site, silver, rows):
     assert write_table(changes, silver, "t", "MERGE", "k", site) == 3
 
 
-def test_target_of_another_format_takes_the_sites(spark, site, silver, rows):
+def test_target_of_another_format_keeps_it(spark, site, silver, rows):
     name = site.table(silver, "t")
-    spark.sql(f"CREATE TABLE {name} (k INT) USING orc")
-    spark.sql(f"INSERT INTO {name} VALUES (1)")
-    assert write_table(spark.sql("SELECT 1 AS k"), silver, "t", "MERGE", "k", site) == 1
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING) USING orc")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'a'), (2, 'b')")
+    changes = spark.sql("SELECT 1 AS k, 'c' AS v")
+    assert write_table(changes, silver, "t", "MERGE", "k", site) == 2
+    assert replacing.table_details(spark, name)["Provider"].lower() == "orc"
+    assert rows(spark.table(name)) == [(1, "c"), (2, "b")]
+    assert write_table(changes, silver, "t", "FULL", "", site) == 1
     assert replacing.table_details(spark, name)["Provider"].lower() == "parquet"
-    assert rows(spark.table(name)) == [(1,)]
-
-
-def test_a_merge_that_only_inserts_leaves_the_files_alone(spark, load, table, rows, site, silver):
-    load("SELECT id AS k FROM range(3)", "MERGE", "k")
-    before = folders(site, silver), set(table().inputFiles())
-    assert load("SELECT id + 3 AS k FROM range(3)", "MERGE", "k") == 6
-    assert folders(site, silver) == before[0]
-    assert before[1] < set(table().inputFiles())
-    assert rows(table()) == [(i,) for i in range(6)]
-
 
-def test_merge_plans(spark, load, site, silver, monkeypatch):
-    """Few changes: the target is not shuffled. Many: its hot key is split."""
-    import sys
 
-    plans = []
-    merging = sys.modules["strata.operators.merge"]
-    replace = merging.replace_table
-
-    def executed(df, *args):
-        execution = df._jdf.queryExecution()
-        execution.toRdd().count()
-        plans.append(execution.executedPlan().toString().split("Initial Plan")[0])
-        replace(df, *args)
-
-    monkeypatch.setattr(merging, "replace_table", executed)
-    target = "SELECT IF(id % 3 = 0, 7, id) AS k, uuid() AS pad, 0 AS v FROM range(300000)"
-    load(target)
-    load("SELECT id AS k, 1 AS v FROM range(100)", "MERGE", "k")
-    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
-    assert "Exchange hashpartitioning" not in plans[0].split("LeftAnti")[0]
-
-    monkeypatch.setattr(merging, "BROADCAST_ROWS", 50)
-    load("SELECT id AS k, 1 AS v FROM range(100)", "MERGE", "k")
-    assert "SortMergeJoin" in plans.pop() and len(plans) == 1
-
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        load(target)
-        # Unmatched repeats among the changes, and two changes that meet the target.
-        load("SELECT IF(id < 50000, -1, 7 + (id - 50000)) AS k, 2 AS v FROM range(50002)",
-             "MERGE", "k")
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-    assert "SortMergeJoin(skew=true)" in plans[1]
+@pytest.mark.parametrize("rewrite", ["merge", "delete", "full"])
+def test_rewrites_keep_the_layout(spark, site, silver, rows, rewrite):
+    name = site.table(silver, "t")
+    spark.sql(
+        f"CREATE TABLE {name} (k INT, v STRING, p INT, q STRING) USING parquet "
+        "PARTITIONED BY (p, q) COMMENT 'it\\'s ours' TBLPROPERTIES ('steward' = 'a=b, c')"
+    )
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'a', 1, 'x'), (2, 'b', 2, NULL), (3, 'c', 2, 'y')")
+    for turn in range(2):
+        if rewrite == "merge":
+            changes = spark.sql(f"SELECT 2 AS k, 'B{turn}' AS v")
+            assert write_table(changes, silver, "t", "MERGE", "k", site) == 3
+        elif rewrite == "delete":
+            delete_where(spark, site, silver, "t", f"k = {turn + 1}")
+            assert spark.table(name).count() == 2 - turn
+        else:
+            new = spark.sql("SELECT 9 AS k, 1 AS p, 'z' AS q, 2.5D AS w")
+            assert write_table(new, silver, "t", "FULL", "", site) == 1
+    layout = replacing._layout(spark, name)
+    assert layout.partitions == ["p", "q"]
+    assert (layout.comment, layout.properties["steward"]) == ("it's ours", "a=b, c")
+    assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == {"merge": 3, "delete": 1, "full": 1}[rewrite]
+    if rewrite == "merge":
+        assert rows(spark.table(name)) == [(1, "a", 1, "x"), (2, "B1", 2, None), (3, "c", 2, "y")]
+
+
+@pytest.mark.parametrize("other", ["t__stage", "t__strata_stage_1"])
+def test_tables_that_look_like_a_stage_are_left_alone(spark, load, table, rows, site, silver, other):
+    write_table(spark.sql("SELECT 7 AS x"), silver, other, "FULL", "", site)
+    load("SELECT 1 AS k, 'a' AS v")
+    assert load("SELECT 2 AS k, 'b' AS v", "APPEND") == 2
+    assert load("SELECT 2 AS k, 'c' AS v", "MERGE", "k") == 2
+    delete_where(spark, site, silver, "t", "k = 1")
+    assert load("SELECT 'd' AS v, 2.5D AS w") == 1
+    assert rows(table()) == [("d", 2.5)]
+    assert rows(spark.table(site.table(silver, other))) == [(7,)]
+
+
+def test_the_version_before_stays_readable(spark, load, table, site, silver):
+    load("SELECT id FROM range(5)")
+    held = table()
+    load("SELECT id FROM range(3)")
+    assert held.count() == 5
+    for n in (2, 4, 6):
+        load(f"SELECT id FROM range({n})")
+    assert len(folders(site, silver)) == 2
+
+
+def test_values_are_never_changed_by_a_cast(spark, load, table, rows):
+    load("SELECT 9007199254740992D AS k, 'a' AS v")
+    for mode in ("APPEND", "MERGE"):
+        with pytest.raises(ValueError, match="cannot store bigint as double"):
+            load("SELECT 9007199254740993L AS k, 'b' AS v", mode, "k")
+    load("SELECT CAST(1 AS FLOAT) AS k, 'a' AS v")
+    with pytest.raises(ValueError, match="cannot store int as float"):
+        load("SELECT 16777217 AS k, 'b' AS v", "APPEND")
+    load("SELECT 1 AS k, 'a' AS v")
+    assert load("SELECT 1L AS k, 'b' AS v", "MERGE", "k") == 1
+    assert rows(table()) == [(1, "b")]
+    with pytest.raises(Exception, match="overflows int"):
+        load("SELECT 2147483649L AS k, 'c' AS v", "MERGE", "k")
+    assert rows(table()) == [(1, "b")]

@@ -176,16 +176,56 @@ def test_targets_load_at_the_same_time(spark, site, silver, audited, monkeypatch
         return resolve(*args)
 
     monkeypatch.setattr(runner, "resolve_source", wait_then_resolve)
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    try:
-        session = runner._session_like(spark)
-        assert session.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     run_group(spark, "PAR_L1", site=site, parallelism=4)
     assert audited("PAR_L1") == [("L1", n, "SUCCESS", 1) for n in names]
 
 
+def test_reads_after_a_parallel_run_see_it(spark, site, silver):
+    """Loads run in the caller's session, so nothing that it keeps goes stale."""
+    config.upsert_l1(
+        spark,
+        [row("AGAIN_L1", silver, "added", "APPEND", TRANSFORMATION_QUERY="SELECT id FROM range(10)"),
+         row("AGAIN_L1", silver, "full", TRANSFORMATION_QUERY="SELECT id FROM range(7)")],
+        site,
+    )
+    added, full = site.table(silver, "added"), site.table(silver, "full")
+    for turn in (1, 2, 3):
+        run_group(spark, "AGAIN_L1", site=site, parallelism=2)
+        assert spark.table(added).count() == 10 * turn
+        assert spark.table(full).count() == 7
+        assert audit.history(spark, "AGAIN_L1", site).count() == 2 * turn
+
+
+def test_parallel_loads_see_the_sessions_functions_and_views(spark, site, silver, rows):
+    spark.udf.register("plus_one", lambda x: x + 1, "int")
+    spark.sql("SELECT 41 AS x").createOrReplaceTempView("given")
+    try:
+        config.upsert_l1(
+            spark,
+            [row("SEES_L1", silver, n, TRANSFORMATION_QUERY="SELECT plus_one(x) AS y FROM given")
+             for n in ("a", "b", "c")],
+            site,
+        )
+        run_group(spark, "SEES_L1", site=site, parallelism=3)
+        assert rows(spark.table(site.table(silver, "c")), "y") == [(42,)]
+    finally:
+        spark.catalog.dropTempView("given")
+
+
+def test_rows_with_one_target_load_in_turn(spark, site, bronze, tmp_path):
+    for n in range(4):
+        spark.range(n, n + 1).write.parquet(str(tmp_path / f"in{n}"))
+    config.upsert_l0(
+        spark,
+        [row("ONE_L0", bronze, "T" if n % 2 else "t", "APPEND", SOURCE_URL=str(tmp_path / f"in{n}"),
+             FILE_FORMAT="parquet", SOURCE_OBJ_NAME=str(n)) for n in range(4)],
+        site,
+    )
+    results = run_group(spark, "ONE_L0", site=site, parallelism=4)
+    assert len(results) == len(spark.table(site.control(DETAIL_TABLES["L0"])).where("DATA_FLOW_GROUP_ID = 'ONE_L0'").collect())
+    assert spark.table(site.table(bronze, "t")).count() == max(r.rows for r in results)
+
+
 def test_lineage_replaces_a_column_where_it_stands(spark):
     df = runner.add_lineage(spark.sql("SELECT 1 AS _ETL_LAYER, 2 AS x"), "G", "L0", "dev")
     assert [c.lower() for c in df.columns] == ["_etl_layer", "x", "_etl_group_id", "_etl_env",
@@ -204,12 +244,23 @@ def test_a_lost_audit_log_does_not_fail_the_load(spark, site, silver):
 # Views
 
 
-def test_to_select():
-    assert views.to_select("select 1", "v") == "select 1"
-    assert views.to_select(" CREATE OR\nREPLACE view `g`.v AS\n SELECT 1 ", "v") == "SELECT 1"
-    for text in ("WITH a AS (SELECT 1) SELECT * FROM a", "CREATE VIEW v AS SELECT 1", "DROP x"):
-        with pytest.raises(ValueError, match="'v': TRANSFORMATION_QUERY must be a SELECT"):
-            views.to_select(text, "v")
+def test_to_select(spark):
+    for query, select in (
+        ("select 1;", "select 1"),
+        (" CREATE OR\nREPLACE view `g`.v AS\n SELECT 1 ", "SELECT 1"),
+        ("CREATE VIEW `a-b`.`v w` AS WITH q AS (SELECT 1) TABLE q", "WITH q AS (SELECT 1) TABLE q"),
+        ("CREATE VIEW v (`x y`) AS SELECT 1", "SELECT * FROM (SELECT 1) AS `_view` (`x y`)"),
+    ):
+        assert views.to_select(spark, query, "v") == select
+    for text in ("DROP TABLE x", "INSERT INTO t VALUES (1)", "CREATE TABLE t (a INT)"):
+        with pytest.raises(ValueError, match="'v' needs a query"):
+            views.to_select(spark, text, "v")
+
+
+def test_names_that_a_query_reads(spark):
+    query = """WITH q AS (SELECT * FROM A JOIN s.`B-1` USING (x))
+        SELECT (SELECT max(y) FROM c) FROM q WHERE z IN (SELECT z FROM d) UNION SELECT 1 FROM E"""
+    assert views.reads(spark, query) == {"a", "s.b-1", "c", "d", "e"}
 
 
 def test_publish_views(spark, site, bronze, silver, gold, rows):
@@ -279,6 +330,58 @@ def test_history_is_newest_first(spark, site):
     assert {len(r.MESSAGE) for r in history} == {400}
 
 
+def test_audit_rows_of_several_writers_all_arrive(spark, site):
+    """Sessions of their own stand for drivers of their own: they share only the folder."""
+    from concurrent.futures import ThreadPoolExecutor
+    from datetime import datetime
+
+    def write(session):
+        for i in range(4):
+            now = datetime.now()
+            audit.record(session, "MANY", f"t{i}", "L0", "SUCCESS", i, "m", now, now, site)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write, [spark.newSession() for _ in range(6)]))
+    assert audit.history(spark, "MANY", site).count() == 24
+    assert audit.summary(spark, "MANY", site).first().OK == 24
+
+
+def test_views_may_read_later_named_ones(spark, site, silver, rows):
+    config.upsert_l1(
+        spark,
+        [row("DEP_L1", silver, "a_total", "VIEW", SOURCE_OBJ_SCHEMA=silver,
+             TRANSFORMATION_QUERY="SELECT sum(x) AS s FROM b_base"),
+         row("DEP_L1", silver, "b_base", "VIEW", SOURCE_OBJ_SCHEMA=silver,
+             TRANSFORMATION_QUERY=f"CREATE OR REPLACE VIEW `{silver}`.`b-base` (x) AS WITH q AS "
+             f"(SELECT y FROM {silver}.c_first) SELECT y + 1 FROM q"),
+         row("DEP_L1", silver, "c_first", "VIEW", SOURCE_OBJ_SCHEMA=silver,
+             TRANSFORMATION_QUERY="SELECT explode(array(1, 2)) AS y")],
+        site,
+    )
+    assert sorted(publish(spark, "DEP_L1", site=site)) == [f"{silver}.{n}" for n in ("a_total", "b_base", "c_first")]
+    assert rows(spark.table(site.table(silver, "a_total"))) == [(5,)]
+    config.upsert_l1(
+        spark,
+        [row("DEP_L1", silver, "c_first", "VIEW", SOURCE_OBJ_SCHEMA=silver,
+             TRANSFORMATION_QUERY="SELECT s AS y FROM a_total")],
+        site,
+    )
+    with pytest.raises(ValueError, match="read each other"):
+        publish(spark, "DEP_L1", site=site)
+
+
+def test_a_failed_view_does_not_stop_independent_ones(spark, site, silver, rows):
+    config.upsert_l1(
+        spark,
+        [row("FAIL_L1", silver, n, "VIEW", SOURCE_OBJ_SCHEMA=silver, TRANSFORMATION_QUERY=q)
+         for n, q in (("a", "SELECT nothing FROM nowhere"), ("b", "SELECT * FROM a"), ("c", "SELECT 3 AS x"))],
+        site,
+    )
+    with pytest.raises(RuntimeError, match="a, .*b"):
+        publish(spark, "FAIL_L1", site=site)
+    assert rows(spark.table(site.table(silver, "c"))) == [(3,)]
+
+
 def test_cleanup_drops_targets_before_their_rows(spark, site, bronze, silver, landed):
     for group in ("OLD_L0", "NEW_L0"):
         config.upsert_header(spark, [{GROUP: group, "IS_ACTIVE": "Y"}], site)
