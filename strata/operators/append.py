@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from strata.operators.columns import aligned, by_lower_name
-from strata.operators.replace import finish_interrupted, replace_table, type_text, uses_delta
+from strata.operators.columns import aligned, by_lower_name, merged
+from strata.operators.replace import (
+    finish_interrupted,
+    replace_table,
+    type_text,
+    uses_delta,
+    widen,
+)
 from strata.site import Site, quote
 
 
 def append(df: DataFrame, site: Site, schema: str, table: str) -> None:
     """INCREMENTAL / APPEND load.
 
-    Columns match by name. New ones are added to the table (NULL in the old rows), missing
-    ones are NULL in the new rows, and a type that would lose values is an error.
+    Columns match by name, and so do fields inside structs. New ones are added to the table (NULL
+    in the old rows), missing ones are NULL in the new rows, and a type that would lose values is
+    an error.
     """
     spark, name = df.sparkSession, site.table(schema, table)
     if uses_delta(spark, site, name):
@@ -24,12 +31,17 @@ def append(df: DataFrame, site: Site, schema: str, table: str) -> None:
     if not spark.catalog.tableExists(name):
         replace_table(df, site, schema, table)
         return
-    known = by_lower_name(spark.table(name).schema)
-    added = [f for key, f in by_lower_name(df.schema).items() if key not in known]
+    columns = spark.table(name).schema
+    wider = merged(columns, df.schema)
     # Types are checked before the table is altered.
-    aligned(df, spark.table(name).schema, fill_missing=True)
-    if added:
-        columns = ", ".join(f"{quote(f.name)} {type_text(f.dataType)}" for f in added)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-    rows = df.select(*aligned(df, spark.table(name).schema, fill_missing=True))
+    aligned(df, wider, fill_missing=True, nested=True)
+    known = by_lower_name(columns)
+    added = [f for f in wider if f.name.lower() not in known]
+    old = [f for f in wider if f.name.lower() in known]
+    if any(f.dataType.simpleString() != known[f.name.lower()].dataType.simpleString() for f in old):
+        widen(spark, site, schema, table, wider)
+    elif added:
+        listed = ", ".join(f"{quote(f.name)} {type_text(f.dataType)}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+    rows = df.select(*aligned(df, spark.table(name).schema, fill_missing=True, nested=True))
     rows.write.insertInto(name)

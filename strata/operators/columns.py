@@ -57,13 +57,76 @@ def by_lower_name(schema: T.StructType) -> dict[str, T.StructField]:
     return fields
 
 
+def merged(target: T.DataType, source: T.DataType) -> T.DataType:
+    """The target's type with the fields that only the source's structs have, at their ends."""
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        known, brought = by_lower_name(target), by_lower_name(source)
+        fields = [
+            T.StructField(f.name, merged(f.dataType, brought[key].dataType) if key in brought else f.dataType)
+            for key, f in known.items()
+        ]
+        return T.StructType(
+            fields + [T.StructField(f.name, f.dataType) for key, f in brought.items() if key not in known]
+        )
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return T.ArrayType(merged(target.elementType, source.elementType))
+    if isinstance(target, T.MapType) and isinstance(source, T.MapType):
+        return T.MapType(target.keyType, merged(target.valueType, source.valueType))
+    return target
+
+
+def _can_conform(source: T.DataType, target: T.DataType) -> bool:
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        known = by_lower_name(target)
+        return all(
+            key in known and _can_conform(f.dataType, known[key].dataType)
+            for key, f in by_lower_name(source).items()
+        )
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return _can_conform(source.elementType, target.elementType)
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        same_keys = source.keyType.simpleString() == target.keyType.simpleString()
+        return same_keys and _can_conform(source.valueType, target.valueType)
+    return can_widen(source, target)
+
+
+def _conformed(column: Column, source: T.DataType, target: T.DataType) -> Column:
+    """The column under the target's type, fields by name, missing ones NULL."""
+    if source.simpleString() == target.simpleString():
+        return column
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        brought = by_lower_name(source)
+        fields = []
+        for f in target:
+            inner = brought.get(f.name.lower())
+            value = (
+                _conformed(column.getField(inner.name), inner.dataType, f.dataType)
+                if inner
+                else F.lit(None).cast(f.dataType)
+            )
+            fields.append(value.alias(f.name))
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return F.transform(column, lambda x: _conformed(x, source.elementType, target.elementType))
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        return F.transform_values(
+            column, lambda _, x: _conformed(x, source.valueType, target.valueType)
+        )
+    return column.cast(target)
+
+
 def aligned(
-    df: DataFrame, target: T.StructType, fill_missing: bool, narrow: bool = False
+    df: DataFrame,
+    target: T.StructType,
+    fill_missing: bool,
+    narrow: bool = False,
+    nested: bool = False,
 ) -> list[Column | str]:
     """Columns of ``df`` under the target's names, types and order.
 
     Target columns that ``df`` lacks are NULL or left out. With ``narrow``, whole numbers may go
-    into a smaller type, and one that doesn't fit fails the job.
+    into a smaller type, and one that doesn't fit fails the job. With ``nested``, fields inside
+    structs match by name too.
     """
     incoming = by_lower_name(df.schema)
     columns: list[Column | str] = []
@@ -78,6 +141,10 @@ def aligned(
             if narrow and can_narrow(source.dataType, field.dataType):
                 columns.append(_narrowed(F.col(name), field.dataType, field.name).alias(field.name))
                 continue
+            if nested and _can_conform(source.dataType, field.dataType):
+                made = _conformed(F.col(name), source.dataType, field.dataType)
+                columns.append(made.alias(field.name))
+                continue
             raise ValueError(
                 f"Column {field.name}: cannot store {source.dataType.simpleString()} "
                 f"as {field.dataType.simpleString()}."

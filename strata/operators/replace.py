@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.types import StructField, StructType
 
-from strata.operators.columns import by_lower_name
+from strata.operators.columns import aligned, by_lower_name
 from strata.site import Site, quote
 
 STAGE_MARK = "__strata_stage_"
@@ -200,6 +200,33 @@ def _point(
         remove_folder(spark, older)
 
 
+def widen(spark: SparkSession, site: Site, schema: str, table: str, columns: StructType) -> None:
+    """Give a table more columns or nested fields; its files stay as they are.
+
+    The wider table is registered over the same files before the old one lets go of them. With
+    partitions, whose folders a catalog may delete with the table, or in the place that the catalog
+    wants for a new table, the rows are written anew.
+    """
+    name = site.table(schema, table)
+    details, layout = table_details(spark, name), _layout(spark, name)
+    managed = details["Type"] == "MANAGED"
+    if layout.partitions or (managed and not _is_own(details["Location"], table)):
+        rows = spark.table(name)
+        wider = rows.select(*aligned(rows, columns, fill_missing=True, nested=True))
+        replace_table(wider, site, schema, table, keep_layout=True)
+        return
+    nullable = StructType([StructField(f.name, f.dataType) for f in columns])
+    stage = site.table(schema, f"{table}{STAGE_MARK}{uuid.uuid4().hex[:12]}")
+    older = _property(spark, name, PREVIOUS)
+    marks = {REPLACES: table} | ({PREVIOUS: older} if older else {})
+    _create(spark, stage, nullable, layout, marks, details["Location"])
+    if managed:
+        _set_location(spark, name, new_location(spark, site, schema, table))
+    else:
+        spark.sql(f"DROP TABLE {name}")
+    _promote(spark, site, schema, table, stage)
+
+
 def _is_own(location: str, table: str) -> bool:
     """Whether the folder is one that new_location named."""
     return location.rstrip("/").rsplit("/", 1)[-1].startswith(f"{table}-")

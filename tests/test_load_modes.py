@@ -411,3 +411,32 @@ def test_values_are_never_changed_by_a_cast(spark, load, table, rows):
     with pytest.raises(Exception, match="overflows int"):
         load("SELECT 2147483649L AS k, 'c' AS v", "MERGE", "k")
     assert rows(table()) == [(1, "b")]
+
+
+def test_append_widens_inside_structs(spark, load, table, rows):
+    load("SELECT 1 AS id, NAMED_STRUCT('a', 1) AS s, ARRAY(NAMED_STRUCT('x', 1)) AS l", "APPEND")
+    load(
+        "SELECT 2 AS id, NAMED_STRUCT('unit-price', 2.5D, 'A', 7) AS s, "
+        "ARRAY(NAMED_STRUCT('y', 'n', 'x', 2), NULL) AS l, MAP('k', NAMED_STRUCT('z w', 1)) AS m",
+        "APPEND",
+    )
+    load("SELECT 3 AS id, CAST(NULL AS STRUCT<a: INT>) AS s, MAP('k', NAMED_STRUCT('q', TRUE)) AS m", "APPEND")
+    got = table().orderBy("id").selectExpr("id", "s", "l", "m").toPandas().to_dict("records")
+    assert [r["s"] and tuple(r["s"]) for r in got] == [(1, None), (7, 2.5), None]
+    assert [x and tuple(x) for x in got[0]["l"]] == [(1, None)]
+    assert [x and tuple(x) for x in got[1]["l"]] == [(2, "n"), None]
+    assert [r["m"] and {k: tuple(v) for k, v in r["m"].items()} for r in got] == [None, {"k": (1, None)}, {"k": (None, True)}]
+    with pytest.raises(ValueError, match="cannot store"):
+        load("SELECT 4 AS id, NAMED_STRUCT('a', 'text') AS s", "APPEND")
+    assert table().count() == 3
+
+
+@pytest.mark.parametrize("layout", ["PARTITIONED BY (p)", ""])
+def test_target_of_someone_else_widens_inside_structs(spark, site, silver, layout):
+    name = site.table(silver, "t")
+    spark.sql(f"CREATE TABLE {name} (s STRUCT<a: INT>, p INT) USING parquet {layout}")
+    spark.sql(f"INSERT INTO {name} VALUES (NAMED_STRUCT('a', 1), 1)")
+    new = spark.sql("SELECT 2 AS p, NAMED_STRUCT('b', 2) AS s")
+    assert write_table(new, silver, "t", "APPEND", "", site) == 2
+    got = {r.p: tuple(r.s) for r in spark.table(name).collect()}
+    assert got == {1: (1, None), 2: (None, 2)}
