@@ -218,6 +218,84 @@ def load_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ws.result(ws.silver, "result")
 
 
+@checks.add("""
+SELECT event_id, user_id AS who,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN value END AS amount
+FROM events
+""")
+def load_append_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch brings a field inside a struct, under a name that needs quotes."""
+    ws = Workspace(spark, sf_dir, "load_append_nested")
+    ws.transform(
+        "SELECT event_id, NAMED_STRUCT('user_id', user_id) AS s FROM events "
+        "WHERE event_type IN ('view', 'click')",
+        "events",
+        LOAD_TYPE="APPEND",
+    )
+    ws.load_silver(
+        "SELECT event_id, NAMED_STRUCT('unit-price', value, 'user_id', user_id) AS s FROM events "
+        "WHERE event_type NOT IN ('view', 'click')",
+        LOAD_TYPE="APPEND",
+    )
+    rows = ws.result(ws.silver, "result")
+    return rows.selectExpr("event_id", "s.user_id AS who", "s.`unit-price` AS amount")
+
+
+@checks.add("""
+SELECT o_orderkey, o_orderstatus, o_totalprice, 'orders' AS side FROM orders
+WHERE o_orderstatus <> 'F'
+UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 'orders__stage' AS side FROM orders
+WHERE o_orderstatus = 'F'
+""")
+def load_beside_a_stage_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table called like another with a suffix is no stage of it, whatever is loaded."""
+    ws = Workspace(spark, sf_dir, "load_beside_a_stage_name")
+    ws.land("orders")
+    columns = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+    for table, load_type, query in (
+        ("orders__stage", "FULL", f"{columns} WHERE o_orderstatus = 'F'"),
+        ("orders", "FULL", f"{columns} WHERE o_orderstatus = 'O'"),
+        ("orders", "APPEND", f"{columns} WHERE o_orderstatus = 'P'"),
+        ("orders", "MERGE", f"{columns} WHERE o_orderstatus <> 'F'"),
+    ):
+        ws.load_silver(query, TARGET_TABLE=table, LOAD_TYPE=load_type, MERGE_KEYS="o_orderkey")
+    sides = (
+        ws.result(ws.silver, table).selectExpr("*", f"'{table}' AS side")
+        for table in ("orders", "orders__stage")
+    )
+    left, right = sides
+    return left.unionByName(right)
+
+
+@checks.add("""
+SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_nationkey < 5 THEN 100 ELSE 0 END AS c_acctbal,
+       TRUE AS is_partitioned
+FROM customer
+""")
+def load_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target that is partitioned stays so when a merge rewrites it."""
+    ws = Workspace(spark, sf_dir, "load_merge_partitioned")
+    ws.land("customer")
+    ws.site.create_schema(spark, ws.silver)
+    name = ws.site.table(ws.silver, "result")
+    spark.sql(
+        f"CREATE TABLE {name} (c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING) "
+        "USING parquet PARTITIONED BY (c_mktsegment)"
+    )
+    columns = "c_custkey, c_mktsegment, c_acctbal"
+    ws.load_silver(f"SELECT {columns} FROM customer", LOAD_TYPE="APPEND")
+    ws.load_silver(
+        "SELECT c_custkey, c_mktsegment, c_acctbal + 100 AS c_acctbal FROM customer "
+        "WHERE c_nationkey < 5",
+        LOAD_TYPE="MERGE",
+        MERGE_KEYS="c_custkey",
+    )
+    segments = spark.sql(f"SHOW PARTITIONS {name}").count()
+    return ws.result(ws.silver, "result").selectExpr(
+        "c_custkey", "c_mktsegment", "c_acctbal", f"{segments} > 1 AS is_partitioned"
+    )
+
+
 @checks.add("""
 SELECT c_custkey, c_name, c_nationkey,
        CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
@@ -490,3 +568,31 @@ def gold_view_over_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     publish(spark, "users", site=ws.site)
     return ws.table(ws.gold, "users")
+
+
+@checks.add("""
+SELECT o_orderstatus, COUNT(*) AS n_orders FROM orders WHERE o_totalprice > 1000
+GROUP BY o_orderstatus
+""")
+def gold_view_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A VIEW row that reads a later-named one of its own layer."""
+    ws = Workspace(spark, sf_dir, "gold_view_in_order")
+    ws.land("orders")
+    ws.l2(
+        "ORDER_L2",
+        {
+            "SOURCE_OBJ_SCHEMA": ws.gold,
+            "TARGET_TABLE": "a_total",
+            "LOAD_TYPE": "VIEW",
+            "TRANSFORMATION_QUERY": "SELECT o_orderstatus, COUNT(*) AS n_orders FROM b_large "
+            "GROUP BY o_orderstatus",
+        },
+        {
+            "SOURCE_OBJ_SCHEMA": ws.bronze,
+            "TARGET_TABLE": "b_large",
+            "LOAD_TYPE": "VIEW",
+            "TRANSFORMATION_QUERY": "SELECT * FROM orders WHERE o_totalprice > 1000",
+        },
+    )
+    publish(spark, "ORDER_L2", site=ws.site)
+    return ws.table(ws.gold, "a_total")
