@@ -11,24 +11,30 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 
-#: Words that a worker remembers; a few hundred bytes each. Beyond it, it starts anew.
-REMEMBERED = 1_000_000
+#: Words that a worker remembers, some forty bytes each. Beyond it, it starts anew.
+REMEMBERED = 2_000_000
 VOCABULARY = "word_bpe_49k.json"
 
+#: An odd factor that spreads hashes over the table's high bits (2^64 over the golden ratio).
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_ALL = (1 << 64) - 1
+
 _ENDED = re.compile(r"([A-Za-z]+)([,.;:!?#$%&*]+)", re.ASCII)
 #: Blank to Python, but not to the tokenizer.
 _ODD = re.compile(r"[^\S\x1c-\x1f]+")
 _LETTERS = re.compile(r"[A-Za-z]+", re.ASCII)
 
 
-class WordIds(dict):
-    """Word -> number of its row in the table of ids."""
+class WordIds:
+    """Ids by word, in arrays: an open-addressed table from the word's 64-bit hash to a row of the
+    table of ids. Words aren't kept, so a word costs some forty bytes, and two would have to agree
+    in all 64 bits of the hash to be taken for each other."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         # One thread: Spark runs a worker on each core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -38,23 +44,67 @@ class WordIds(dict):
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self._new: list[str] = []
+        self._count = 0
+        self._bits = 17
+        self._hashes, self._rows = self._empty()
         self._ids = np.empty(1 << 16, np.uint16)
         self._used = 0
         self._starts = np.zeros(1 << 16, np.int64)
         self._sizes = np.zeros(1 << 16, np.int32)
 
-    def __missing__(self, word: str) -> int:
-        self._new.append(word)
-        number = self[word] = len(self)
-        return number
+    def _empty(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(1 << self._bits, np.int64), np.full(1 << self._bits, -1, np.int32)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes.view(np.uint64) * _MIX >> np.uint64(64 - self._bits)).view(np.int64)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The rows of those hashes; -1 where there is none."""
+        places = self._places(hashes)
+        rows = self._rows[places].astype(np.int64)
+        other = np.flatnonzero((rows >= 0) & (self._hashes[places] != hashes))
+        while len(other):  # on to the next place, until it is empty or the word's
+            places[other] = (places[other] + 1) & ((1 << self._bits) - 1)
+            rows[other] = self._rows[places[other]]
+            wrong = (rows[other] >= 0) & (self._hashes[places[other]] != hashes[other])
+            other = other[wrong]
+        return rows
+
+    def _add(self, word: str) -> tuple[int, bool]:
+        """The word's row, and whether it is new."""
+        if 2 * self._count >= 1 << self._bits:
+            self._grow()
+        key, mask = hash(word), (1 << self._bits) - 1
+        place = (key * int(_MIX) & _ALL) >> (64 - self._bits)
+        while (row := self._rows[place]) >= 0:
+            if self._hashes[place] == key:
+                return int(row), False
+            place = (place + 1) & mask
+        self._hashes[place], self._rows[place] = key, self._count
+        self._count += 1
+        return self._count - 1, True
+
+    def _grow(self) -> None:
+        hashes, rows = self._hashes, self._rows
+        self._bits += 1
+        self._hashes, self._rows = self._empty()
+        mask = (1 << self._bits) - 1
+        held = np.flatnonzero(rows >= 0)
+        hashes, rows = hashes[held], rows[held]
+        places = self._places(hashes)
+        while len(rows):
+            free = self._rows[places] < 0
+            # Of several that want a free place, the last one written has it.
+            self._rows[places[free]] = rows[free]
+            settled = free & (self._rows[places] == rows)
+            self._hashes[places[settled]] = hashes[settled]
+            hashes, rows, places = hashes[~settled], rows[~settled], (places[~settled] + 1) & mask
 
     def _keep(self, numbers: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
         """ids holds the words' ids one after the other."""
         while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
-        while len(self) > len(self._starts):
+        while self._count > len(self._starts):
             self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
             self._sizes = np.concatenate([self._sizes, np.zeros_like(self._sizes)])
         self._ids[self._used : self._used + len(ids)] = ids
@@ -71,30 +121,45 @@ class WordIds(dict):
         shift = np.repeat(self._starts[rows] - ends + sizes, sizes)
         return self._ids[shift + np.arange(ends[-1])]
 
-    def _learn(self) -> None:
-        """Encode the words met since the last time."""
+    def _learn(self, words: Iterable[str]) -> None:
+        """Encode words that aren't known yet."""
         joined: list[tuple[int, int, int]] = []
-        while self._new:
-            words, self._new = self._new, []
-            numbers, ids, sizes, others = [], [], [], []
-            for word in words:
-                if _LETTERS.fullmatch(word):
-                    # Nothing to normalise or split but case, so the model alone has the ids.
-                    found = [token.id for token in self._model.tokenize(word.lower())]
-                    numbers.append(self[word])
-                    ids += found
-                    sizes.append(len(found))
-                elif ended := _ENDED.fullmatch(word):
-                    joined.append((self[word], self[ended[1]], self[ended[2]]))
-                else:
-                    others.append(word)
-            for word, made in zip(
-                others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True
-            ):
-                numbers.append(self[word])
-                ids += made.ids
-                sizes.append(len(made.ids))
-            self._keep(numbers, np.array(ids, np.uint16), np.array(sizes, np.int64))
+        numbers, ids, sizes = [], [], []
+        others: dict[str, int] = {}
+
+        def letters(word: str) -> int:
+            number, is_new = self._add(word)
+            if is_new:
+                # Nothing to normalise or split but case, so the model alone has the ids.
+                found = [token.id for token in self._model.tokenize(word.lower())]
+                numbers.append(number)
+                ids.extend(found)
+                sizes.append(len(found))
+            return number
+
+        for word in words:
+            if _LETTERS.fullmatch(word):
+                letters(word)
+                continue
+            number, is_new = self._add(word)
+            if not is_new:
+                continue
+            if ended := _ENDED.fullmatch(word):
+                ending, is_new = self._add(ended[2])
+                if is_new:
+                    others[ended[2]] = ending
+                joined.append((number, letters(ended[1]), ending))
+            else:
+                others[word] = number
+        for number, made in zip(
+            others.values(),
+            self._tokenizer.encode_batch_fast(list(others), add_special_tokens=False),
+            strict=True,
+        ):
+            numbers.append(number)
+            ids.extend(made.ids)
+            sizes.append(len(made.ids))
+        self._keep(numbers, np.array(ids, np.uint16), np.array(sizes, np.int64))
         if joined:
             whole, *parts = np.array(joined).T
             sizes = self._sizes[parts[0]] + self._sizes[parts[1]]
@@ -104,7 +169,7 @@ class WordIds(dict):
         """The ids of each text; a null text is empty."""
         out: list[np.ndarray] = []
         for text in texts:
-            if len(self) > REMEMBERED:
+            if self._count > REMEMBERED:
                 self.reset()
             # A very long text is taken in pieces, so that its words are never all in memory.
             parts = [self._words(piece) for piece in _pieces(text or "")]
@@ -113,9 +178,12 @@ class WordIds(dict):
 
     def _words(self, text: str) -> np.ndarray:
         words = _ODD.split(text) if _has_odd(text) else text.split()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self._new:
-            self._learn()
+        hashes = np.fromiter(map(hash, words), np.int64, len(words))
+        rows = self._find(hashes)
+        unknown = np.flatnonzero(rows < 0)
+        if len(unknown):
+            self._learn(dict.fromkeys([words[k] for k in unknown.tolist()]))
+            rows[unknown] = self._find(hashes[unknown])
         return self._gather(rows)
 
 
