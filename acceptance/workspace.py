@@ -30,11 +30,20 @@ def shared_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+def _gone_at_exit(spark: SparkSession, folder: str) -> None:
+    """Results are read lazily, so a query's tables stay until the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, name: str) -> None:
         unique = f"{name}_{uuid.uuid4().hex[:10]}"
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.scratch = f"{shared_root(spark)}/{unique}"
+        _gone_at_exit(spark, self.scratch)
         self.bronze, self.silver, self.gold = (
             f"{unique}_{layer}" for layer in ("bronze", "silver", "gold")
         )

@@ -37,7 +37,7 @@ from strata.site import Site, quote
 
 
 # Spark chooses a broadcast by file size, and a small file of repeated values can hold very many
-# rows. Changes of more rows than this are joined by sort-merge whatever their size.
+# rows. What has more rows than this is joined by sort-merge whatever its size.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -61,7 +61,7 @@ def merge(
     """
     spark, name = df.sparkSession, site.table(schema, table)
     if not keys:
-        raise ValueError(f"MERGE_KEYS is empty for {name}. Add keys to the control table.")
+        raise ValueError(f"A merge into {name} needs at least one key.")
     if uses_delta(spark, site, name):
         _merge_into(df, site, schema, table, keys, update_columns)
         return
@@ -89,7 +89,7 @@ def merge(
         changes = _staged(changes, f"{staging}/changes")
         target = spark.table(name)
         single, unmatched = _split(target, changes, keys, name, staging)
-        joinable = single.hint("merge") if changes.count() > BROADCAST_ROWS else single
+        joinable = _sized(single)
         matched = _staged(
             target.select(*keys).join(joinable.select(*keys), keys, "left_semi"),
             f"{staging}/matched",
@@ -98,7 +98,8 @@ def merge(
             append(changes, site, schema, table)
         else:
             rewritten = _updated(target, joinable, keys, update_columns)
-            inserted = unmatched.unionByName(single.join(matched.distinct(), keys, "left_anti"))
+            found = _staged(matched.distinct(), f"{staging}/found")
+            inserted = unmatched.unionByName(single.join(_sized(found), keys, "left_anti"))
             rows = inserted.select(*aligned(inserted, columns, fill_missing=True))
             replace_table(rewritten.unionByName(rows), site, schema, table, keep_layout=True)
     finally:
@@ -114,7 +115,7 @@ def _split(
     repeated = _repeated_keys(keyed, keys)
     if repeated.isEmpty():
         return keyed, unkeyed
-    repeated = _staged(repeated, f"{staging}/repeated")
+    repeated = _sized(_staged(repeated, f"{staging}/repeated"))
     if not _present_in(target, repeated, keys).isEmpty():
         raise MergeConflict(f"Several source rows match one row of {name} on {', '.join(keys)}.")
     single = _staged(keyed.join(repeated, keys, "left_anti"), f"{staging}/single")
@@ -138,6 +139,11 @@ def _updated(
     return target.alias("t").join(single.alias("s"), matches, "left_outer").select(*columns)
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """A staged frame that Spark may broadcast only if its rows are few, too."""
+    return df.hint("merge") if df.count() > BROADCAST_ROWS else df
+
+
 def _staged(df: DataFrame, location: str) -> DataFrame:
     df.write.parquet(location)
     return df.sparkSession.read.schema(df.schema).parquet(location)

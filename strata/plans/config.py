@@ -152,7 +152,7 @@ def active_groups(
         rows = rows.where(_in_group(asked))
     if rows.isEmpty():
         raise LookupError(
-            f"No active records found for {asked or 'any group'}. Check IS_ACTIVE = 'Y'."
+            f"{asked or 'The header'} has no row that is switched on (IS_ACTIVE other than 'Y')."
         )
     return rows.select(GROUP, "JOB_NAME", "NOTEBOOK_PATH", "IS_ACTIVE").orderBy(GROUP)
 

@@ -128,7 +128,7 @@ def publish(
         layers = layer_of(group)
     rows = active_views(spark, group, layers, site).collect()
     if not rows:
-        raise LookupError(f"No VIEW rows for {group}. Check IS_ACTIVE = 'Y', LOAD_TYPE = 'VIEW'.")
+        raise LookupError(f"{group} has no active row of load type VIEW.")
 
     def field(value: str | None, default: str = "") -> str:
         return (value or default).strip()

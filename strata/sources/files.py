@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet", "delta")
 
 
 def read_source(
-    spark: SparkSession, path: str | None, fmt: str | None = "csv", delim: str | None = ","
+    spark: SparkSession,
+    path: str | None,
+    fmt: str | None = "csv",
+    delim: str | None = ",",
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Scan landed files.
 
-    CSV has a header and inferred types; a JSON file holds one document or one array, so a
-    file is the unit of parallelism there and large inputs should land as many files.
+    CSV has a header; its types are inferred from all rows, one more pass over the files, unless
+    ``schema`` gives them, and then a file whose header has other columns is an error. A JSON file
+    holds one document or one array, so a file is the unit of parallelism there and large inputs
+    should land as many files.
     """
     path = (path or "").strip()
     fmt = (fmt or "").strip().lower() or "csv"
     if not path:
-        raise ValueError("SOURCE_URL is empty in the control table.")
+        raise ValueError("This load names no files: its SOURCE_URL is blank.")
     if path.lower().startswith(("http://", "https://")):
         raise ValueError(
             f"'{path}' must be landed on shared storage first; sources are read from there."
@@ -26,11 +33,14 @@ def read_source(
     if fmt == "csv":
         # A lone tab is a separator, not padding.
         sep = (delim or "").strip(" ") or ","
+        if schema is not None:
+            return spark.read.csv(path, schema, header=True, sep=sep, enforceSchema=False)
         return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "json":
-        return spark.read.json(path, multiLine=True)
+        return reader.json(path, multiLine=True)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     if fmt == "delta":
         return spark.read.format("delta").load(path)
     raise ValueError(f"Unsupported format '{fmt}'. Supported: {', '.join(SUPPORTED_FORMATS)}.")

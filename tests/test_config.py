@@ -107,7 +107,7 @@ def test_upserts_check_rows(spark, site):
 
 
 def test_active_groups(spark, site, rows):
-    with pytest.raises(LookupError, match="any group"):
+    with pytest.raises(LookupError, match="The header has no row"):
         config.active_groups(spark, site=site)
     config.upsert_header(
         spark,

@@ -293,7 +293,7 @@ def test_publish_views(spark, site, bronze, silver, gold, rows):
     assert publish(spark, "v", "l2", site) == [f"{gold}.total"]
     with pytest.raises(ValueError, match="not in 'L0'"):
         publish(spark, "v", "L0", site)
-    with pytest.raises(LookupError, match="No VIEW rows for NONE_L2"):
+    with pytest.raises(LookupError, match="NONE_L2 has no active row"):
         publish(spark, "none_l2", site=site)
     assert views.plan(spark, "none", site).isEmpty()
 

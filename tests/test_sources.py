@@ -51,7 +51,7 @@ def test_parquet_directory_and_glob(spark, tmp_path):
 
 @pytest.mark.parametrize("path", ["", "  ", None])
 def test_empty_path(spark, path):
-    with pytest.raises(ValueError, match="SOURCE_URL is empty"):
+    with pytest.raises(ValueError, match="SOURCE_URL is blank"):
         read_source(spark, path)
 
 
@@ -64,3 +64,14 @@ def test_unsupported_formats_name_the_supported_ones(spark):
 def test_remote_files_must_be_landed(spark):
     with pytest.raises(ValueError, match="landed"):
         read_source(spark, "HTTPS://example.org/a.csv")
+
+
+def test_csv_with_a_given_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n2,\n")
+    (tmp_path / "b.csv").write_text("v,k\nx,1\n")
+    given = "k long, v string"
+    got = read_source(spark, str(tmp_path / "a.csv"), "csv", ",", given)
+    assert got.dtypes == [("k", "bigint"), ("v", "string")]
+    assert [tuple(r) for r in got.collect()] == [(1, "x"), (2, None)]
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        read_source(spark, str(tmp_path / "b.csv"), "csv", ",", given).collect()
