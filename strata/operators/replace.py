@@ -30,23 +30,30 @@ PREVIOUS = "strata.previous"
 
 
 class Layout(NamedTuple):
-    """What a table keeps when its rows are rewritten."""
+    """What a table keeps when its rows are rewritten, and where it is."""
 
     provider: str
-    partitions: list[str]
-    comment: str
-    properties: dict[str, str]
-    options: dict[str, str]
+    partitions: list[str] = []
+    comment: str = ""
+    properties: dict[str, str] = {}
+    options: dict[str, str] = {}
+    location: str = ""
+    managed: bool = True
+    previous: str = ""
+    replaces: str = ""
 
 
 def table_details(spark: SparkSession, name: str) -> dict[str, str]:
-    """Provider, Location and Type of a table as the catalog reports them, and whether it is
-    Partitioned."""
+    """Provider, Location, Type and so on of a table as the catalog reports them; Partitions has
+    its partition columns, one a line."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    start = next(i for i, row in enumerate(rows) if row.col_name.startswith("# Detailed Table"))
+    names = [row.col_name for row in rows]
+    start = next(i for i, col_name in enumerate(names) if col_name.startswith("# Detailed Table"))
     details = {row.col_name: row.data_type for row in rows[start + 1 :]}
-    if any(row.col_name == "# Partition Information" for row in rows[:start]):
-        details["Partitioned"] = "yes"
+    if "# Partition Information" in names:
+        # Below a heading of their own, up to the next empty line.
+        first = names.index("# Partition Information") + 2
+        details["Partitions"] = "\n".join(names[first : names.index("", first)])
     return details
 
 
@@ -74,21 +81,22 @@ def text_literal(text: str) -> str:
 
 def _layout(spark: SparkSession, name: str) -> Layout:
     details = table_details(spark, name)
-    shown = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    own = {row.key: row.value for row in shown if row.key not in (REPLACES, PREVIOUS)}
+    shown = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    previous, replaces = shown.pop(PREVIOUS, ""), shown.pop(REPLACES, "")
     listed = details.get("Storage Properties", "").strip("[]")
     options = dict(x.split("=", 1) for x in listed.split(", ") if "=" in x)
     internal = ("serialization.", "path")
-    options = {key: value for key, value in options.items() if not key.startswith(internal)}
-    # DESCRIBE names the partition columns in order below their heading.
-    rows = [row.col_name for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
-    partitions = []
-    if "# Partition Information" in rows:
-        for column in rows[rows.index("# Partition Information") + 2 :]:
-            if not column or column.startswith("#"):
-                break
-            partitions.append(column)
-    return Layout(details["Provider"].lower(), partitions, details.get("Comment", ""), own, options)
+    return Layout(
+        details["Provider"].lower(),
+        details["Partitions"].split("\n") if "Partitions" in details else [],
+        details.get("Comment", ""),
+        shown,
+        {key: value for key, value in options.items() if not key.startswith(internal)},
+        details["Location"],
+        details["Type"] == "MANAGED",
+        previous,
+        replaces,
+    )
 
 
 def _create(
@@ -133,19 +141,15 @@ def replace_table(
         return
     known = by_lower_name(df.schema)
     finish_interrupted(spark, site, schema, table)
-    layout = Layout(site.table_format, [], "", {}, {})
-    if spark.catalog.tableExists(name):
-        before = _layout(spark, name)
-        if keep_layout:
-            layout = before
-        else:
-            kept = [c for c in before.partitions if c.lower() in known and len(known) > len(before.partitions)]
-            same = before.provider == site.table_format
-            layout = before._replace(
-                provider=site.table_format,
-                partitions=kept if kept == before.partitions else [],
-                options=before.options if same else {},
-            )
+    before = _layout(spark, name) if spark.catalog.tableExists(name) else None
+    layout = before or Layout(site.table_format)
+    if before and not keep_layout:
+        fits = len(known) > len(before.partitions) and all(c.lower() in known for c in before.partitions)
+        layout = before._replace(
+            provider=site.table_format,
+            partitions=before.partitions if fits else [],
+            options=before.options if before.provider == site.table_format else {},
+        )
     location = new_location(spark, site, schema, table)
     try:
         writer = df.write.format(layout.provider).options(**layout.options)
@@ -155,7 +159,7 @@ def replace_table(
     except Exception:
         remove_folder(spark, location)
         raise
-    _point(spark, site, schema, table, location, df.schema, layout)
+    _point(spark, site, schema, table, location, df.schema, layout, before)
 
 
 def _point(
@@ -166,38 +170,33 @@ def _point(
     location: str,
     columns: StructType,
     layout: Layout,
+    before: Layout | None,
 ) -> None:
     name = site.table(schema, table)
-    exists = spark.catalog.tableExists(name)
     nullable = StructType([StructField(f.name, f.dataType) for f in columns])
-    if not exists:
+    if before is None:
         _create(spark, name, nullable, layout, {})
         _set_location(spark, name, location)
         return
-    details, before = table_details(spark, name), _layout(spark, name)
-    managed = details["Type"] == "MANAGED"
-    older = _property(spark, name, PREVIOUS)
     fits = _same_columns(spark.table(name).schema, columns) and before.provider == layout.provider
     if fits and not before.partitions and not layout.partitions:
         _set_location(spark, name, location)
-        if managed:
-            _set_property(spark, name, PREVIOUS, details["Location"])
-    else:
-        # Columns and partitions cannot be changed in place. The finished rewrite is registered
-        # first, so that a driver lost between the drop and the create loses nothing.
-        stage = site.table(schema, f"{table}{STAGE_MARK}{uuid.uuid4().hex[:12]}")
-        ordered = _partitions_last(nullable, layout.partitions)
-        marks = {REPLACES: table}
-        if managed and not before.partitions and _is_own(details["Location"], table):
-            marks[PREVIOUS] = details["Location"]
-        _create(spark, stage, ordered, layout, marks, location)
-        if older and managed:
-            # A table's first folder has the place that the catalog wants for a new one.
-            remove_folder(spark, older)
-        _promote(spark, site, schema, table, stage)
+        if before.managed:
+            _set_property(spark, name, PREVIOUS, before.location)
+            if before.previous:
+                remove_folder(spark, before.previous)
         return
-    if older and managed:
-        remove_folder(spark, older)
+    # Columns and partitions cannot be changed in place. The finished rewrite is registered first,
+    # so that a driver lost between the drop and the create loses nothing.
+    stage = site.table(schema, f"{table}{STAGE_MARK}{uuid.uuid4().hex[:12]}")
+    marks = {REPLACES: table}
+    if before.managed and not before.partitions and _is_own(before.location, table):
+        marks[PREVIOUS] = before.location
+    _create(spark, stage, _partitions_last(nullable, layout.partitions), layout, marks, location)
+    if before.managed and before.previous:
+        # A table's first folder has the place that the catalog wants for a new one.
+        remove_folder(spark, before.previous)
+    _promote(spark, site, schema, table, stage, _layout(spark, stage))
 
 
 def widen(spark: SparkSession, site: Site, schema: str, table: str, columns: StructType) -> None:
@@ -208,23 +207,21 @@ def widen(spark: SparkSession, site: Site, schema: str, table: str, columns: Str
     wants for a new table, the rows are written anew.
     """
     name = site.table(schema, table)
-    details, layout = table_details(spark, name), _layout(spark, name)
-    managed = details["Type"] == "MANAGED"
-    if layout.partitions or (managed and not _is_own(details["Location"], table)):
+    layout = _layout(spark, name)
+    if layout.partitions or (layout.managed and not _is_own(layout.location, table)):
         rows = spark.table(name)
         wider = rows.select(*aligned(rows, columns, fill_missing=True, nested=True))
         replace_table(wider, site, schema, table, keep_layout=True)
         return
     nullable = StructType([StructField(f.name, f.dataType) for f in columns])
     stage = site.table(schema, f"{table}{STAGE_MARK}{uuid.uuid4().hex[:12]}")
-    older = _property(spark, name, PREVIOUS)
-    marks = {REPLACES: table} | ({PREVIOUS: older} if older else {})
-    _create(spark, stage, nullable, layout, marks, details["Location"])
-    if managed:
+    marks = {REPLACES: table} | ({PREVIOUS: layout.previous} if layout.previous else {})
+    _create(spark, stage, nullable, layout, marks, layout.location)
+    if layout.managed:
         _set_location(spark, name, new_location(spark, site, schema, table))
     else:
         spark.sql(f"DROP TABLE {name}")
-    _promote(spark, site, schema, table, stage)
+    _promote(spark, site, schema, table, stage, _layout(spark, stage))
 
 
 def _is_own(location: str, table: str) -> bool:
@@ -246,27 +243,22 @@ def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({text_literal(key)} = {text_literal(value)})")
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return next((row.value for row in rows if row.key == key), "")
-
-
-def _promote(spark: SparkSession, site: Site, schema: str, table: str, stage: str) -> None:
+def _promote(
+    spark: SparkSession, site: Site, schema: str, table: str, stage: str, staged: Layout
+) -> None:
     """Turn a registered stage into the table. Every step may be repeated."""
     name = site.table(schema, table)
-    staged, layout = table_details(spark, stage)["Location"], _layout(spark, stage)
-    previous = _property(spark, stage, PREVIOUS)
     exists = spark.catalog.tableExists(name)
-    if not exists or table_details(spark, name)["Location"] != staged:
-        if exists and previous:
+    if not exists or table_details(spark, name)["Location"] != staged.location:
+        if exists and staged.previous:
             # Dropped from elsewhere, the version before keeps its files.
             _set_location(spark, name, new_location(spark, site, schema, table))
         if exists:
             spark.sql(f"DROP TABLE {name}")
-        kept = {PREVIOUS: previous} if previous else {}
-        _create(spark, name, spark.table(stage).schema, layout, kept)
-        _set_location(spark, name, staged)
-    if layout.partitions:
+        kept = {PREVIOUS: staged.previous} if staged.previous else {}
+        _create(spark, name, spark.table(stage).schema, staged, kept)
+        _set_location(spark, name, staged.location)
+    if staged.partitions:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     # The stage is an external table: dropping it leaves the files to the new owner.
     spark.sql(f"DROP TABLE {stage}")
@@ -277,11 +269,10 @@ def drop_with_files(spark: SparkSession, site: Site, schema: str, table: str) ->
     name = site.table(schema, table)
     if not spark.catalog.tableExists(name):
         return
-    managed = table_details(spark, name).get("Type") == "MANAGED"
-    previous = _property(spark, name, PREVIOUS) if managed else ""
+    layout = _layout(spark, name)
     spark.sql(f"DROP TABLE {name}")
-    if previous:
-        remove_folder(spark, previous)
+    if layout.managed and layout.previous:
+        remove_folder(spark, layout.previous)
 
 
 def finish_interrupted(spark: SparkSession, site: Site, schema: str, table: str) -> None:
@@ -290,8 +281,9 @@ def finish_interrupted(spark: SparkSession, site: Site, schema: str, table: str)
     for row in shown:
         if not row.isTemporary and row.tableName.lower().startswith(f"{table}{STAGE_MARK}".lower()):
             stage = site.table(schema, row.tableName)
-            if _property(spark, stage, REPLACES).lower() == table.lower():
-                _promote(spark, site, schema, table, stage)
+            staged = _layout(spark, stage)
+            if staged.replaces.lower() == table.lower():
+                _promote(spark, site, schema, table, stage, staged)
 
 
 def _same_columns(left: StructType, right: StructType) -> bool:
