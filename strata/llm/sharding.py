@@ -42,14 +42,20 @@ def _number(text: str) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
 
 
+def table_size(shards: list[str], slots: int | None = None) -> int:
+    """The number of slots: prime, at least what is asked for."""
+    size = prime_from(slots or SLOTS_PER_SHARD * len(shards))
+    if not len(shards) <= size <= MOST_SLOTS:
+        raise ValueError(f"a table of {size} slots doesn't suit {len(shards)} shards")
+    return size
+
+
 def fill(shards: list[str], slots: int | None = None) -> np.ndarray:
     """The shard's number for each slot. Order of the list doesn't matter to who prefers what,
     only to who takes the first turn."""
     if not shards or len(set(shards)) < len(shards):
         raise ValueError("shards need names of their own")
-    size = prime_from(slots or SLOTS_PER_SHARD * len(shards))
-    if not len(shards) <= size <= MOST_SLOTS:
-        raise ValueError(f"a table of {size} slots doesn't suit {len(shards)} shards")
+    size = table_size(shards, slots)
     offsets = [_number(f"offset:{name}") % size for name in shards]
     skips = [_number(f"skip:{name}") % (size - 1) + 1 for name in shards]
     owner = np.full(size, -1, np.int64)
@@ -70,11 +76,10 @@ def slot_of(size: int, *key: Column) -> Column:
 
 
 def lookup(spark: SparkSession, shards: list[str], slots: int | None = None) -> DataFrame:
-    """The table as (slot, shard)."""
+    """The table as (slot, shard), at most MOST_SLOTS rows."""
     owner = fill(shards, slots)
-    return spark.createDataFrame(
-        [(slot, shards[number]) for slot, number in enumerate(owner.tolist())], "slot int, shard string"
-    )
+    rows = [(slot, shards[number]) for slot, number in enumerate(owner.tolist())]
+    return spark.createDataFrame(rows, "slot int, shard string")
 
 
 def place(
@@ -86,7 +91,7 @@ def place(
     into: str = "shard",
 ) -> DataFrame:
     """Add the columns `into` and `into`_slot. spread: columns that split hot keys."""
-    size = len(fill(shards, slots))
+    size = table_size(shards, slots)
     slot = f"{into}_slot"
     if {into, slot} & set(df.columns):
         raise ValueError(f"there is a column {into!r} or {slot!r} already")

@@ -83,14 +83,14 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
 
 def _entropy(text: Column) -> Column:
     """Bits for each character."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    size = F.size(chars).cast("double")
+    size = F.length(text).cast("double")
 
     def bits(char: Column) -> Column:
-        share = F.size(F.filter(chars, lambda c: c == char)) / size
+        share = (size - F.length(F.replace(text, char, F.lit("")))) / size
         return -share * F.log2(share)
 
-    return F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda total, c: total + bits(c))
+    chars = F.filter(F.array_distinct(F.split(text, "")), lambda c: c != "")
+    return F.aggregate(chars, F.lit(0.0), lambda total, c: total + bits(c))
 
 
 def _lexical(url: Column, host: Column, path: Column, tail: Column) -> dict[str, Column]:
@@ -105,7 +105,7 @@ def _lexical(url: Column, host: Column, path: Column, tail: Column) -> dict[str,
         "depth": number(path, "[^/]+"),
         "digit_ratio": number(whole, "[0-9]") / F.greatest(F.length(whole), F.lit(1)),
         "hyphens": number(whole, "-"),
-        "entropy": _entropy(F.substring(whole, 1, 2048)),
+        "entropy": _entropy(whole),
         "parameters": number(query, "[^&]+"),
     }
 

@@ -1,7 +1,6 @@
 import duckdb
 import numpy as np
 import pytest
-from test_packing import check
 from test_simhash import plain_components, plain_fingerprint
 from tokenizers import Tokenizer
 
@@ -79,7 +78,6 @@ def test_packing(results):
     for i, rows in single.groupby("doc_id"):
         ids = b"".join(rows.sort_values("start").ids)
         assert np.frombuffer(ids, "<u4").tolist() == expected[i]
-    assert callable(check)
     for _, rows in results[5].groupby("sequence_id"):
         rows = rows.sort_values("offset")
         assert rows.offset.tolist() == [0, *np.cumsum(rows.length)[:-1]]
