@@ -152,6 +152,8 @@ def judge(
     rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
     """Add a struct `into`: the counts, base_failed, each rule's outcome and kept."""
+    if into in df.columns:
+        raise ValueError(f"there is a column {into!r} already")
     measured = measure(df, text, into)
     counts = F.col(into)
     outcome = compile_rules(counts, rules)
