@@ -1,7 +1,7 @@
 """Exact top-k by inner product, with a KD-tree for each shard.
 
 Vectors become whole numbers first, so that scores are exact. Where they lie, they are gathered
-into shards of SHARD_ROWS vectors, and each becomes a KD-tree: the dimension of largest extent is
+into shards of about SHARD_ROWS vectors, and each becomes a KD-tree: the dimension of largest extent is
 split at its median, down to leaves of LEAF_ROWS, and every node keeps the tight box of its
 vectors. No vector is shuffled for that.
 
@@ -36,6 +36,8 @@ from pyspark.sql import types as T
 from strata.llm.common import settle
 
 SHARD_ROWS = 8192
+#: Bytes of a shard's vectors at most: longer vectors make shards of fewer rows.
+SHARD_BYTES = 16 << 20
 LEAF_ROWS = 64
 BLOCK_QUERIES = 1024
 #: Sums of products below this are exact in doubles.
@@ -167,11 +169,12 @@ def _packed(df: DataFrame, rows: int) -> DataFrame:
             ends = np.cumsum(sizes)
             for dim in np.unique(sizes).tolist():
                 mine = np.flatnonzero(sizes == dim)
-                for at in range(0, len(mine), rows):
-                    some = mine[at : at + rows]
+                most = max(1, min(rows, SHARD_BYTES // (8 * dim)))
+                for at in range(0, len(mine), most):
+                    some = mine[at : at + most]
                     vectors = flat[(ends[some] - dim)[:, None] + np.arange(dim)]
                     held.setdefault(dim, []).append((ids[some], vectors))
-                    if sum(len(x) for x, _ in held[dim]) >= rows:
+                    if sum(len(x) for x, _ in held[dim]) >= most:
                         yield full(dim)
         for dim in list(held):
             yield full(dim)
