@@ -117,7 +117,7 @@ def test_active_groups(spark, site, rows):
     )
     assert [r[GROUP] for r in config.active_groups(spark, site=site).collect()] == ["A", "B"]
     assert [r.NOTEBOOK_PATH for r in config.active_groups(spark, " b ", site).collect()] == ["/B"]
-    with pytest.raises(LookupError, match="for C"):
+    with pytest.raises(LookupError, match="C has no row"):
         config.active_groups(spark, "c", site)
 
 
