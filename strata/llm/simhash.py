@@ -21,7 +21,7 @@ component. Other columns pass through `add_fingerprint` unread.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -267,7 +267,11 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.toDF("node", "root")
 
 
-def label(fingerprints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def label(
+    fingerprints: DataFrame,
+    doc_id: str = "doc_id",
+    linked: Callable[[DataFrame], DataFrame] = links,
+) -> DataFrame:
     """(fingerprint, component_id, keeper) for each distinct fingerprint of a settled frame.
 
     component_id is the smallest id that the links reach. keeper is true for one fingerprint of
@@ -276,7 +280,7 @@ def label(fingerprints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     points = settle(
         fingerprints.groupBy("fingerprint").agg(F.min(doc_id).alias("first")), "points"
     )
-    joined = components(links(points)).toDF("fingerprint", "root")
+    joined = components(linked(points)).toDF("fingerprint", "root")
     rooted = points.join(joined, "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -300,14 +304,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: one with the component's id. Columns as they came."""
-    mark = "simhash__fingerprint"
-    marked = settle(add_fingerprint(docs, text, mark), "marked")
-    labels = label(marked.select(doc_id, F.col(mark).alias("fingerprint")), doc_id)
+def keep_one(
+    marked: DataFrame,
+    mark: str,
+    doc_id: str,
+    linked: Callable[[DataFrame], DataFrame] = links,
+) -> DataFrame:
+    """One row of each component of a settled frame: one with the component's id."""
+    labels = label(marked.select(doc_id, F.col(mark).alias("fingerprint")), doc_id, linked)
     keep = labels.where("keeper").select(
         F.col("fingerprint").alias("keep__mark"), F.col("component_id").alias("keep__id")
     )
     here = (F.col(mark) == F.col("keep__mark")) & F.col(doc_id).eqNullSafe(F.col("keep__id"))
-    kept = marked.join(keep, here).dropDuplicates(["keep__mark", "keep__id"])
-    return kept.select(*docs.columns)
+    return marked.join(keep, here).dropDuplicates(["keep__mark", "keep__id"])
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: one with the component's id. Columns as they came."""
+    mark = "simhash__fingerprint"
+    marked = settle(add_fingerprint(docs, text, mark), "marked")
+    return keep_one(marked, mark, doc_id).select(*docs.columns)
