@@ -7,6 +7,11 @@ where the rows lie: no shuffle, no Python.
 Defined results: a null text counts as empty (all counts zero, rejected for its length); repeated
 rows are judged each for itself; other columns, also of the same names as the counts, pass
 through `judge` unread, as the counts live in one struct column whose name the caller chooses.
+
+`RULES` are those of the SQL check. `CORPUS_RULES` decide what a corpus keeps: words of over
+LONG_WORD characters (tokens, keys, data URIs) count by their share of the text and not in the mean
+word length, and stop words count in any case, and only where the list knows the language: not
+where `lang` names another one, nor where letters foreign to the list's languages are common.
 """
 
 from __future__ import annotations
@@ -52,6 +57,22 @@ RULES = (
 )
 
 
+#: Characters of a word above which it is no word of a language.
+LONG_WORD = 400
+#: The stop words' languages, their letters, and the share of other letters that no such text has.
+LANGUAGES = ("en", "de", "es", "fr")
+LETTERS = "A-Za-zÄÖÜäöüßẞÀÂÆÇÉÈÊËÎÏÔŒÙÛŸàâæçéèêëîïôœùûÿÁÍÓÚÑáíóúñªº"
+FOREIGN_PERCENT = 2
+
+CORPUS_RULES = (
+    Rule("word_length", "ordinary_chars", "n_words", 2.0, 12.0),
+    Rule("symbols", "n_symbols", "n_words", None, 0.25),
+    Rule("stop_words", "n_stop_words_any_case", "n_words_of_known_language", 0.02, None),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 0.4),
+    Rule("long_words", "long_word_chars", "word_chars", None, 0.5),
+)
+
+
 def _windows(hashes: Column) -> Column:
     """One hash for each run of WINDOW words; none for shorter texts."""
     size = F.size(hashes)
@@ -89,8 +110,28 @@ def _covered(found: Column) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0), lambda total, step: total + step), F.lit(0))
 
 
-def measure(df: DataFrame, text: str, into: str) -> DataFrame:
-    """Add a struct column `into` with the counts of the column `text`."""
+def _corpus_counts(words: str, source: Column, lang: str | None) -> dict[str, Column]:
+    w, chars = F.col(words), F.length(F.array_join(words, ""))
+    long_words = F.filter(w, lambda word: F.length(word) > LONG_WORD)
+    long_chars = F.length(F.array_join(long_words, ""))
+    foreign = F.length(F.regexp_replace(source, rf"[\P{{L}}{LETTERS}]+", ""))
+    known = 100 * foreign <= FOREIGN_PERCENT * chars
+    if lang is not None:
+        named = F.lower(F.regexp_extract(F.col(lang).cast("string"), r"^\s*(\p{L}*)", 1))
+        known = known & F.coalesce(named.isin("", "und", *LANGUAGES), F.lit(True))
+    return {
+        "long_word_chars": long_chars,
+        "ordinary_chars": chars - long_chars,
+        "n_stop_words_any_case": F.size(F.filter(w, lambda word: F.lower(word).isin(*STOP_WORDS))),
+        "n_words_of_known_language": F.when(known, F.size(w)).otherwise(0),
+    }
+
+
+def measure(
+    df: DataFrame, text: str, into: str, corpus: bool = False, lang: str | None = None
+) -> DataFrame:
+    """Add a struct column `into` with the counts of the column `text`; corpus: also those that
+    only CORPUS_RULES read, with the column `lang` if there is one."""
     # Each array that a lambda reads is a column of its own, so that it is made once a row.
     w, h, win, placed, found, lines = (
         f"{into}__{name}" for name in ("w", "h", "win", "placed", "found", "lines")
@@ -117,6 +158,8 @@ def measure(df: DataFrame, text: str, into: str) -> DataFrame:
         "n_repeat_words": _covered(F.col(found)),
         "one": F.lit(1),
     }
+    if corpus:
+        counts |= _corpus_counts(w, source, lang)
     packed = F.struct(*(count.cast("long").alias(name) for name, count in counts.items()))
     return sought.withColumn(into, packed).drop(w, h, win, placed, found, lines)
 
@@ -150,11 +193,12 @@ def judge(
     text: str = "text",
     into: str = "quality",
     rules: tuple[Rule, ...] = RULES,
+    lang: str | None = None,
 ) -> DataFrame:
     """Add a struct `into`: the counts, base_failed, each rule's outcome and kept."""
     if into in df.columns:
         raise ValueError(f"there is a column {into!r} already")
-    measured = measure(df, text, into)
+    measured = measure(df, text, into, rules is not RULES, lang)
     counts = F.col(into)
     outcome = compile_rules(counts, rules)
     kept = ~base_failed(counts)

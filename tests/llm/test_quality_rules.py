@@ -92,3 +92,30 @@ def test_empty_table_and_clashing_name(spark):
     assert rules.judge(df).count() == 0
     with pytest.raises(ValueError):
         rules.judge(df, into="id")
+
+
+RUSSIAN = "это обычный текст на русском языке в котором нет ни одного слова из списка и он должен остаться здесь потому что он хороший"
+POLISH = "zażółć gęślą jaźń i proszę bardzo żeby ten zupełnie zwykły polski tekst został ponieważ jest całkiem dobry więc można go zachować tutaj"
+ASCII = (
+    "yksi kaksi kolme nelja viisi kuusi seitseman kahdeksan yhdeksan kymmenen alku loppu talo vene "
+    "kala lintu metsa meri taivas maa tuli vesi ilma kivi puu"
+)
+LONG = " ".join(f"the word {n} of a text" for n in range(100))
+CORPUS = [
+    (GOOD, "en", True), (GOOD.upper(), "en", True), (RUSSIAN, "ru", True), (RUSSIAN, None, True), (RUSSIAN, "en", True),
+    (POLISH, "pl", True), (POLISH, None, True), (ASCII, "fi-FI", True), (ASCII, "en", False), (ASCII, None, False),
+    (LONG + " " + "k" * 1200, "en", True), (LONG + " data:image/png;base64," + "A" * 1500, "en", True),
+    (GOOD + " " + "w" * 500, "en", False), (LONG + " " + "w" * 9000, "en", False), (None, None, False),
+]
+
+
+def test_corpus_rules(spark):
+    import corpus_pipeline
+
+    rows = [(i, t, lang) for i, (t, lang, _) in enumerate(CORPUS)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_good(spark, docs, "").collect()}
+    assert kept == {i for i, (_, _, good) in enumerate(CORPUS) if good}
+    # Without a column lang the text alone tells.
+    kept = {r.doc_id for r in corpus_pipeline.keep_good(spark, docs.drop("lang"), "").collect()}
+    assert kept == {i for i, (_, _, good) in enumerate(CORPUS) if good} - {7}
