@@ -195,7 +195,7 @@ def _pieces(text: str, size: int = 1 << 20) -> list[str]:
     """The text cut at blanks into pieces of about that size; a word is never cut."""
     if len(text) <= size:
         return [text]
-    cut = re.compile(r"\s")
+    cut = re.compile(r"[^\S\x1c-\x1f]")
     pieces, at = [], 0
     while at < len(text):
         found = cut.search(text, at + size)

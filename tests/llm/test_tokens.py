@@ -40,3 +40,12 @@ def test_long_text_and_a_table_that_starts_anew(encoder, monkeypatch):
     got = encoder.encode(texts)
     assert got[0].tolist() == plain([texts[0][:24]])[0] * 100_000
     assert [x.tolist() for x in got[1:]] == plain(texts[1:])
+
+
+@pytest.mark.parametrize("mark", "\x1c\x1d\x1e\x1f")
+def test_long_text_is_not_cut_inside_a_word(encoder, mark):
+    head = "some words, and " * (1 << 16)
+    text = head + f"{mark}- {mark}{mark}, the end"
+    assert len(head) == 1 << 20 and "".join(tokens._pieces(text)) == text
+    tail = plain([text[len(head) - 16 :]])[0]
+    assert encoder.encode([text])[0].tolist()[-len(tail) :] == tail
