@@ -12,6 +12,7 @@ from strata.llm import (
     licenses,
     mixing,
     packing,
+    periodic,
     quality_rules,
     repair,
     secrets,
@@ -123,6 +124,32 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.scan(docs.withColumn("text", periodic.planted(docs)))
+    runs, length, period = F.col("runs"), F.col("best.length"), F.col("best.period")
+
+    def larger(best: Column, run: Column) -> Column:
+        # Runs come by start, then period: of equal exponents the first stays.
+        beats = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | beats, run).otherwise(best)
+
+    lines = F.transform(
+        runs, lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    )
+    best = F.aggregate(runs, F.get(runs, F.lit(0)), larger)
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -134,4 +161,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
 }

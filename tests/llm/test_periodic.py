@@ -1,0 +1,129 @@
+import hashlib
+import random
+import re
+import time
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from strata.llm import periodic, queries
+from strata.llm.periodic import Catchers, Run
+
+
+def plain_runs(found, least_words=6, least_periods=4):
+    """Every stretch between two words that a period's distance tells apart, by all periods."""
+    n, runs = len(found), {}
+    for q in range(1, n // least_periods + 1):
+        start = 0
+        for i in range(n - q + 1):
+            if i == n - q or found[i] != found[i + q]:
+                length = i - start + q
+                if i > start and length >= max(least_words, least_periods * q):
+                    runs.setdefault((start, length), q)
+                start = i + 1
+    return sorted(Run(a, n, q) for (a, n), q in runs.items())
+
+
+def plain_planted(doc_id, text):
+    found = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(found), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        found = [w if i < a else found[a + (i - a) % p] for i, w in enumerate(found)]
+    return found
+
+
+def plain_row(doc_id, text):
+    found = plain_planted(doc_id, text)
+    runs = plain_runs(found)
+    dropped = {i for r in runs for i in range(r.start + r.period, r.start + r.length)}
+    best = min(runs, key=lambda r: (-Fraction(r.length, r.period), r.start, r.period), default=None)
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    return (
+        doc_id,
+        len(runs),
+        *(best or (None,) * 3),
+        1000 * best.length // best.period if best else None,
+        digest("".join(f"{r.start},{r.length},{r.period}\n" for r in runs)),
+        digest(" ".join(w for i, w in enumerate(found) if i not in dropped)),
+    )
+
+
+def caught(numbers, piece, least_words=6, least_periods=4):
+    catchers = Catchers(least_words, least_periods)
+    for at in range(0, len(numbers), piece):
+        catchers.append(np.array(numbers[at : at + piece], np.int64))
+    return catchers.runs()
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1000])
+@pytest.mark.parametrize("least", [(6, 4), (2, 2), (6, 3)])
+def test_against_all_periods(piece, least):
+    draw = random.Random(3)
+    for turn in range(150):
+        numbers = [draw.randrange(draw.choice([1, 2, 3, 30])) for _ in range(draw.randrange(90))]
+        for _ in range(draw.randrange(3)):
+            root = [draw.randrange(4) for _ in range(draw.randrange(1, 15))]
+            at = draw.randrange(len(numbers) + 1)
+            numbers[at:at] = (root * 9)[: draw.randrange(1, len(root) * 9)]
+        assert caught(numbers, piece, *least) == plain_runs(numbers, *least), numbers
+
+
+def test_words_of_thue_and_fibonacci():
+    thue = [bin(i).count("1") % 2 for i in range(2048)]
+    assert caught(thue, 300) == []
+    one, two = [0], [0, 1]
+    while len(two) < 1500:
+        one, two = two, two + one
+    assert caught(two, 300, 2, 2) == plain_runs(two, 2, 2)
+    assert caught(two, 300, 2, 3) == plain_runs(two, 2, 3)
+
+
+def test_hashes_that_meet(monkeypatch):
+    """Also where all windows look alike, only real runs are reported."""
+    monkeypatch.setattr(periodic, "_mixed", lambda values: values & np.uint64(1))
+    draw = random.Random(4)
+    for _ in range(60):
+        numbers = [draw.randrange(4) for _ in range(30)] + [7, 8, 9] * 5
+        assert set(caught(numbers, 50)) <= set(plain_runs(numbers))
+
+
+def test_long_texts_take_linear_time():
+    started = time.perf_counter()
+    assert periodic.find_runs([b"w"] * 300_000) == [Run(0, 300_000, 1)]
+    root = [b"%d" % n for n in range(1000)]
+    assert periodic.find_runs(root * 300) == [Run(0, 300_000, 1000)]
+    assert time.perf_counter() - started < 20
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a " * 5), (5, "a " * 6), (5, "a " * 6), (None, "x y " * 4),
+            (6, "a\x0bb c " * 4), (7, "the cat sat " * 4 + "on"), (-3, "b")]
+    df = spark.createDataFrame([(i, t, 1, "z") for i, t in rows], "doc_id long, text string, start long, best string")
+    got = [(r.doc_id, [tuple(x) for x in r.runs], r.collapsed) for r in periodic.scan(df).collect()]
+    expected = []
+    for i, t in rows:
+        found = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        runs = plain_runs(found)
+        dropped = {n for r in runs for n in range(r.start + r.period, r.start + r.length)}
+        expected.append((i, [tuple(r) for r in runs], " ".join(w for n, w in enumerate(found) if n not in dropped)))
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert periodic.scan(df.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        periodic.scan(df.withColumnRenamed("best", "runs"))
+    held = [r.t for r in df.select(periodic.planted(df).alias("t")).collect()]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in held]
+    assert words == [plain_planted(i, t) for i, t in rows]
+
+
+def test_query_against_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    got = queries.QUERIES["op11_periodic_runs"](spark, path)
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    rows = [plain_row(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    assert sum(r[1] > 0 for r in rows) > 10
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
