@@ -215,10 +215,36 @@ FROM scored QUALIFY rank <= 10
 """
 
 
+_HARD_NEGATIVES = """
+WITH numbers AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+), scored AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM numbers a, numbers c
+    WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 SQL: dict[str, str] = {
     "op2_mixing": _mixing(),
     "op6_kdtree": _KDTREE,
     "op8_quality_rules": _quality_rules(),
     "op9_sharding": _sharding(),
     "op10_licenses": _licenses(),
+    "op12_hard_negatives": _HARD_NEGATIVES,
 }

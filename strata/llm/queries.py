@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    hard_negatives,
     kdtree,
     licenses,
     mixing,
+    ngram_join,
     packing,
     periodic,
     quality_rules,
@@ -150,6 +152,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    rows = rows.select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -162,4 +175,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_ngram_join": op13_ngram_join,
 }
