@@ -281,13 +281,16 @@ def planted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Colu
     """
     checksum = F.crc32(F.col(doc_id).cast("string"))
     chosen = F.coalesce(checksum % 10 == 0, F.lit(False))
-    held = words(F.col(text))
-    size = F.size(held)
     drawn = F.floor(checksum / 10)
-    first = (drawn % size).cast("int")
-    period = (1 + F.floor((size - first) / (3 + drawn % 8))).cast("int")
-    made = F.concat(
-        F.slice(held, F.lit(1), first),
-        F.transform(F.sequence(first, size - 1), lambda i: F.get(held, first + (i - first) % period)),
-    )
-    return F.when(chosen & (size > 0), F.array_join(made, " ")).otherwise(F.col(text))
+
+    def repeated(held: Column) -> Column:
+        size = F.size(held)
+        first = (drawn % size).cast("int")
+        period = (1 + F.floor((size - first) / (3 + drawn % 8))).cast("int")
+        again = F.transform(F.sequence(first, size - 1), lambda i: F.get(held, first + (i - first) % period))
+        made = F.array_join(F.concat(F.slice(held, F.lit(1), first), again), " ")
+        return F.when(size > 0, made).otherwise(F.col(text))
+
+    # A variable of a lambda is evaluated once, not for each word.
+    made = F.get(F.transform(F.array(words(F.col(text))), repeated), F.lit(0))
+    return F.when(chosen, made).otherwise(F.col(text))
