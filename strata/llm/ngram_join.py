@@ -279,7 +279,8 @@ _PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 
 
 def _joined(members: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """Links (a, b), a > b, of members (part, node, probe, text), a part a trie."""
+    """Pairs (a, b), a > b, that join what links of members (part, node, probe, text) join, a part a
+    trie."""
 
     def links(rows: list[tuple[int, bool, str]]) -> Iterator[tuple[int, int]]:
         stored = {node: text for node, probe, text in rows if not probe}
@@ -287,8 +288,10 @@ def _joined(members: DataFrame, width: int, similar: tuple[int, int]) -> DataFra
         nodes = [*stored, *asking]
         sets = [grams(text, width) for text in stored.values()]
         probes = [grams(text, width) for text in asking.values()]
-        for a, b in trie_links(sets, probes, similar):
-            yield max(nodes[a], nodes[b]), min(nodes[a], nodes[b])
+        found = np.array(trie_links(sets, probes, similar), np.int64).reshape(-1, 2)
+        # As stars, which take fewer rounds to become components than chains.
+        named = np.array(nodes, np.int64)[found]
+        yield from zip(*(x.tolist() for x in _stars(named[:, 0], named[:, 1])), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
@@ -326,8 +329,24 @@ def _met(keys: np.ndarray, a: np.ndarray, b: np.ndarray, tie: bool) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, _MET.fieldNames())
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node that pairs join each to; those that are it are left out."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[: len(a)], place[len(a) :]
+    low, before = np.arange(len(nodes)), None
+    while before is None or (low != before).any():
+        before = low.copy()
+        least = np.minimum(low[a], low[b])
+        np.minimum.at(low, a, least)
+        np.minimum.at(low, b, least)
+        low = low[low]
+    moved = low != np.arange(len(nodes))
+    return nodes[moved], nodes[low[moved]]
+
+
 def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signatures of a batch, each once, with the smallest of its sets; ties of the others to it.
+    """Signatures of a batch, each once, with the smallest set that the batch ties it to; ties of
+    the others to that.
 
     So a signature of any number of sets leaves a task in as many rows as the task has batches.
     """
@@ -340,9 +359,13 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         keys, nodes = keys[order], nodes[order]
         opens = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
         low = nodes[np.flatnonzero(opens)[np.cumsum(opens) - 1]]
-        yield _met(keys[opens], nodes[opens], nodes[opens], False)
-        pairs = np.unique(np.stack([nodes, low])[:, nodes > low], axis=1)
-        yield _met(pairs[0], pairs[0], pairs[1], True)
+        moved, root = _stars(nodes[nodes > low], low[nodes > low])
+        first = nodes[opens]
+        if len(moved):
+            at = np.minimum(np.searchsorted(moved, first), len(moved) - 1)
+            first = np.where(moved[at] == first, root[at], first)
+        yield _met(keys[opens], first, first, False)
+        yield _met(moved, moved, root, True)
 
 
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,8 +381,7 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lows = np.append(low, nodes[opens])[np.cumsum(opens)]
             key, low = keys[-1], lows[-1]
             done = np.concatenate([done, np.stack([nodes, lows])[:, nodes > lows]], axis=1)
-        done = np.unique(done, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(done[0]), pa.array(done[1])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _stars(*done)], ["a", "b"])
 
 
 def tied(points: DataFrame) -> DataFrame:
@@ -372,8 +394,8 @@ def tied(points: DataFrame) -> DataFrame:
 def links(
     points: DataFrame, texts: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR
 ) -> DataFrame:
-    """Links (a, b), a > b, that join the same sets as all links of settled points (node, size,
-    signatures) do. texts: (node, text). Both have any number of rows a node."""
+    """Pairs (a, b), a > b, that join the same sets as all links of settled points (node, size,
+    signatures) do; a pair may be joined by several links. texts: (node, text). Both have any number of rows a node."""
     roots = tied(points)
     groups = roots.union(roots.select("root", "root").distinct()).toDF("node", "group")
     sizes = points.groupBy("node").agg(F.first("size").alias("size"))
