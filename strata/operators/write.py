@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from strata.functions import parse_keys
 from strata.operators.append import append
+from strata.operators.counts import remember
 from strata.operators.merge import merge
 from strata.operators.replace import replace_table
 from strata.site import Site
@@ -30,12 +31,11 @@ def write_table(
     mode = (load_type or "").strip().upper() or "FULL"
     keys = parse_keys(merge_keys)
     if mode in ("INCREMENTAL", "APPEND"):
-        append(df, site, schema, table)
+        rows = append(df, site, schema, table)
     elif mode == "MERGE" or (mode == "DELTA" and keys):
-        merge(df, site, schema, table, keys)
+        rows = merge(df, site, schema, table, keys)
     else:
         if mode not in ("FULL", "DELTA"):
             log.warning("Unknown LOAD_TYPE '%s' for %s.%s, using FULL", mode, schema, table)
-        replace_table(df, site, schema, table)
-    # A scan of no columns: the row counts come from the file footers.
-    return spark.table(site.table(schema, table)).count()
+        rows = replace_table(df, site, schema, table)
+    return remember(spark, site, schema, table, rows)

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from strata import MergeConflict, conflicting_keys, delete_where, write_table
 from strata.operators import replace as replacing
+from strata.operators import tables
 from strata.operators.columns import can_widen
 
 
@@ -87,7 +88,7 @@ def test_interrupted_schema_change_is_finished(
 ):
     load("SELECT id FROM range(3)")
     name, stage = site.table(silver, "t"), site.table(silver, "t__strata_stage_0f")
-    location = replacing.new_location(spark, site, silver, "t")
+    location = tables.new_location(spark, site, silver, "t")
     new = spark.sql("SELECT 'new' AS v")
     new.write.parquet(location)
     spark.sql(
@@ -343,10 +344,10 @@ def test_target_of_another_format_keeps_it(spark, site, silver, rows):
     spark.sql(f"INSERT INTO {name} VALUES (1, 'a'), (2, 'b')")
     changes = spark.sql("SELECT 1 AS k, 'c' AS v")
     assert write_table(changes, silver, "t", "MERGE", "k", site) == 2
-    assert replacing.table_details(spark, name)["Provider"].lower() == "orc"
+    assert tables.layout_of(spark, site, silver, "t").provider == "orc"
     assert rows(spark.table(name)) == [(1, "c"), (2, "b")]
     assert write_table(changes, silver, "t", "FULL", "", site) == 1
-    assert replacing.table_details(spark, name)["Provider"].lower() == "parquet"
+    assert tables.layout_of(spark, site, silver, "t").provider == "parquet"
 
 
 @pytest.mark.parametrize("rewrite", ["merge", "delete", "full"])
@@ -367,7 +368,7 @@ def test_rewrites_keep_the_layout(spark, site, silver, rows, rewrite):
         else:
             new = spark.sql("SELECT 9 AS k, 1 AS p, 'z' AS q, 2.5D AS w")
             assert write_table(new, silver, "t", "FULL", "", site) == 1
-    layout = replacing._layout(spark, name)
+    layout = tables.layout_of(spark, site, silver, "t")
     assert layout.partitions == ["p", "q"]
     assert (layout.comment, layout.properties["steward"]) == ("it's ours", "a=b, c")
     assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == {"merge": 3, "delete": 1, "full": 1}[rewrite]
