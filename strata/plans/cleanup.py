@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from strata.operators import delete_where
 from strata.operators.replace import drop_with_files
+from strata.plans import audit
 from strata.plans.config import all_targets
 from strata.schemas import AUDIT_TABLE, DETAIL_TABLES, GROUP, HEADER_TABLE
 from strata.site import Site
@@ -29,6 +30,9 @@ def delete_config(
 ) -> None:
     """Delete the group's rows from one control table. The id is matched as stored."""
     site = site.on(spark)
+    if control_table == AUDIT_TABLE:
+        audit.delete(spark, group_id, site)
+        return
     delete_where(
         spark, site, site.admin, control_table, f"{GROUP} = :group", args={"group": group_id}
     )

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from strata.functions import group_key, layer_of
 from strata.operators import write_table
+from strata.operators.tables import remove_folder
 from strata.plans import audit
 from strata.plans.config import active_loads, normalise_rows
 from strata.schemas import LINEAGE_COLUMNS
 from strata.site import Site, quote
 from strata.sources import read_source
+from strata.sources.files import scratch_folder
 
 log = logging.getLogger(__name__)
 
@@ -57,7 +59,8 @@ def run_group(
     The suffix of the group id names the layer; without one, L0, L1 and L2 run in turn and a
     failed layer stops the ones after it. ``parallelism`` is the number of a layer's targets
     that load at the same time, all in the caller's session; more than one needs targets that do
-    not read each other. Rows with the same target load in turn.
+    not read each other. Rows with the same target load in turn. Each load has a scheduler pool of
+    its own, so that with ``spark.scheduler.mode=FAIR`` a small one doesn't wait for a large one.
     """
     group = group_key(group_id)
     site = site.on(spark)
@@ -109,11 +112,13 @@ def _load(
 ) -> LoadResult:
     started = datetime.now()
     status, count, message = "FAILED", 0, ""
+    scratch = scratch_folder(spark)
     try:
-        df = add_lineage(resolve_source(spark, row, layer, site), group, layer, env)
-        count = write_table(
-            df, row.TARGET_SCHEMA, row.TARGET_TABLE, row.LOAD_TYPE, row.MERGE_KEYS, site
-        )
+        with fair_share(spark, f"{row.TARGET_SCHEMA}.{row.TARGET_TABLE}"):
+            df = add_lineage(resolve_source(spark, row, layer, site, scratch), group, layer, env)
+            count = write_table(
+                df, row.TARGET_SCHEMA, row.TARGET_TABLE, row.LOAD_TYPE, row.MERGE_KEYS, site
+            )
         status, message = "SUCCESS", f"{count:,} rows"
     except Exception as error:
         message = f"{type(error).__name__}: {str(error)[:ERROR_TEXT_LIMIT]}"
@@ -121,6 +126,8 @@ def _load(
             "%s %s.%s failed", layer, row.TARGET_SCHEMA, row.TARGET_TABLE, exc_info=error
         )
     finally:
+        if layer == "L0":
+            remove_folder(spark, scratch)
         audit.record(
             spark,
             group,
@@ -136,13 +143,34 @@ def _load(
     return LoadResult(layer, row.TARGET_TABLE, status, count, message)
 
 
-def resolve_source(spark: SparkSession, row: Row, layer: str, site: Site) -> DataFrame:
-    """The frame a normalised control row loads from."""
+#: A thread's setting of the pool that its jobs are scheduled in.
+_POOL = "spark.scheduler.pool"
+
+
+@contextmanager
+def fair_share(spark: SparkSession, load: str) -> Iterator[None]:
+    """Jobs that this thread starts meanwhile are in a pool of the load's own, unless the caller
+    has chosen one."""
+    context = spark.sparkContext
+    chosen = context.getLocalProperty(_POOL)
+    context.setLocalProperty(_POOL, chosen or f"load {load}")
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_POOL, chosen)
+
+
+def resolve_source(
+    spark: SparkSession, row: Row, layer: str, site: Site, scratch: str | None = None
+) -> DataFrame:
+    """The frame a normalised control row loads from; scratch: see `read_source`."""
     schema, name = row.SOURCE_OBJ_SCHEMA, row.SOURCE_OBJ_NAME
     if layer == "L0":
         from_table = row.LOAD_TYPE == "DELTA" and not row.SOURCE_URL and schema and name
         if not from_table:
-            return read_source(spark, row.SOURCE_URL, row.SOURCE_FORMAT, row.DELIMETER)
+            return read_source(
+                spark, row.SOURCE_URL, row.SOURCE_FORMAT, row.DELIMETER, scratch=scratch
+            )
     elif row.TRANSFORMATION_QUERY:
         return query_in(spark, row.TRANSFORMATION_QUERY, schema, site)
     return spark.table(site.table(schema, name))

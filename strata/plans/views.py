@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from graphlib import CycleError, TopologicalSorter
 
 from py4j.java_gateway import is_instance_of
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import group_key, layer_of
 from strata.operators import replace_table
-from strata.operators.replace import text_literal
+from strata.operators.tables import text_literal
 from strata.plans.config import active_views
-from strata.plans.runner import query_in
+from strata.plans.runner import fair_share, query_in
 from strata.site import Site, quote
 
 log = logging.getLogger(__name__)
@@ -115,11 +118,13 @@ def publish(
     group_id: str | None = None,
     run_layer: str | None = None,
     site: Site = Site(),
+    parallelism: int = 4,
 ) -> list[str]:
     """Rebuild the datasets of a group's VIEW rows and return their names.
 
-    Both parameters default to the session's settings. View runs stamp no lineage columns and
-    write no audit row.
+    Group and layer default to the session's settings. View runs stamp no lineage columns and
+    write no audit row. A dataset starts as soon as those that it reads are done, ``parallelism``
+    of them at a time; a failure stops only what reads the failed one.
     """
     site = site.on(spark)
     group = group_key(group_id or setting(spark, "GROUP_ID"))
@@ -143,20 +148,11 @@ def publish(
         key: _needs(spark, select, field(row.src_schema), datasets.keys() - {key})
         for key, (row, select) in datasets.items()
     }
-    try:
-        order = list(TopologicalSorter(needs).static_order())
-    except CycleError as error:
-        raise ValueError(f"Datasets read each other: {', '.join(error.args[1])}") from error
-    published: list[str] = []
-    failed: dict[str, Exception | None] = {}
-    for key in order:
+    def rebuild(key: str) -> str:
         row, select = datasets[key]
-        if needs[key] & failed.keys():
-            failed[key] = None
-            continue
         source_schema, schema = field(row.src_schema), field(row.tgt_schema, "gold")
         table = field(row.tgt_table)
-        try:
+        with fair_share(spark, f"{schema}.{table}"):
             site.create_schema(spark, schema)
             replace_table(query_in(spark, select, source_schema, site), site, schema, table)
             name = site.table(schema, table)
@@ -165,16 +161,56 @@ def publish(
             spark.sql(f"COMMENT ON TABLE {name} IS :comment", args={"comment": comment})
             quality = text_literal(schema)
             spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = {quality})")
-            published.append(f"{schema}.{table}")
-        except Exception as error:
-            log.warning("view %s failed", key, exc_info=error)
-            failed[key] = error
+        return f"{schema}.{table}"
+
+    published, failed = _in_order(needs, inheritable_thread_target(spark)(rebuild), parallelism)
     if failed:
         first = next(error for error in failed.values() if error)
         raise PublishFailed(f"Not rebuilt: {', '.join(failed)}; first cause: {first}") from first
     return published
 
 
+def _in_order(
+    needs: dict[str, set[str]], rebuild: Callable[[str], str], parallelism: int
+) -> tuple[list[str], dict[str, Exception | None]]:
+    """Rebuild what has all it needs, as places in the pool come free.
+
+    Returns the results, what is read before what reads it, and what failed; with None where
+    something that it needs did.
+    """
+    graph = TopologicalSorter(needs)
+    try:
+        graph.prepare()
+        order = list(TopologicalSorter(needs).static_order())
+    except CycleError as error:
+        raise ValueError(f"Datasets read each other: {', '.join(error.args[1])}") from error
+    done: dict[str, str] = {}
+    failed: dict[str, Exception | None] = {}
+    running: dict[Future, str] = {}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        while graph.is_active():
+            for key in sorted(graph.get_ready()):
+                if needs[key] & failed.keys():
+                    failed[key] = None
+                    graph.done(key)
+                else:
+                    running[pool.submit(rebuild, key)] = key
+            if not running:
+                continue
+            for job in wait(running, return_when=FIRST_COMPLETED).done:
+                key = running.pop(job)
+                error = job.exception()
+                if error is None:
+                    done[key] = job.result()
+                elif isinstance(error, Exception):
+                    log.warning("view %s failed", key, exc_info=error)
+                    failed[key] = error
+                else:
+                    raise error
+                graph.done(key)
+    return [done[key] for key in order if key in done], failed
+
+
 def _needs(spark: SparkSession, select: str, source_schema: str, known: set[str]) -> set[str]:
     """The datasets among ``known`` that a query reads."""
     written = reads(spark, select)
