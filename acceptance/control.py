@@ -6,7 +6,7 @@ one row per part, customer, supplier or event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acceptance import Checks
@@ -366,6 +366,26 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.summary(spark, site=ws.site)
 
 
+@checks.add("""
+SELECT t.name AS "TARGET_TABLE", 'SUCCESS' AS "STATUS", t.n AS "ROWS_LOADED", r.n AS run
+FROM (SELECT 'orders' AS name, COUNT(*) AS n FROM orders UNION ALL
+      SELECT 'customer', COUNT(*) FROM customer UNION ALL
+      SELECT 'lineitem', COUNT(*) FROM lineitem) t, (VALUES (1), (2), (3)) r(n)
+""")
+def audit_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of a group is the same after its runs have become one folder."""
+    ws = Workspace(spark, sf_dir, "audit_compacted")
+    ws.land("orders", "customer", "lineitem")
+    for _ in range(2):
+        ws.run("LAND_L0", parallelism=3)
+    cleanup_group(spark, "NEVER", ws.site, delete_audit=True)
+    if audit.compact(spark, site=ws.site) != 9:
+        raise AssertionError("runs were left out")
+    in_turn = Window.partitionBy("TARGET_TABLE").orderBy("START_TIME")
+    rows = audit.history(spark, "land_l0", ws.site).withColumn("run", F.row_number().over(in_turn))
+    return rows.select("TARGET_TABLE", "STATUS", "ROWS_LOADED", "run")
+
+
 @checks.add(f"""
 SELECT 'l0' AS place, data_flow_group_id AS "DATA_FLOW_GROUP_ID", target_table AS "TARGET_TABLE"
 FROM ({L0_ROWS}) r WHERE data_flow_group_id <> 'LARGE_L0'

@@ -267,6 +267,76 @@ def load_beside_a_stage_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.unionByName(right)
 
 
+@checks.add("""
+SELECT c_mktsegment, COUNT(*) AS n,
+       ROUND(SUM(c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 100 ELSE 0 END), 2) AS total,
+       c_mktsegment NOT IN ('BUILDING', 'MACHINERY') AS is_untouched
+FROM customer WHERE c_mktsegment <> 'MACHINERY' OR c_acctbal >= 0 GROUP BY c_mktsegment
+""")
+def load_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge and a delete leave the files of partitions that they don't touch."""
+    ws = Workspace(spark, sf_dir, "load_touched_partitions")
+    ws.land("customer")
+    ws.site.create_schema(spark, ws.silver)
+    name = ws.site.table(ws.silver, "result")
+    spark.sql(
+        f"CREATE TABLE {name} (c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING) "
+        "USING parquet PARTITIONED BY (c_mktsegment)"
+    )
+    ws.load_silver("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer", LOAD_TYPE="APPEND")
+
+    def files() -> DataFrame:
+        return spark.table(name).select("c_mktsegment", F.input_file_name().alias("file")).distinct()
+
+    before = files().groupBy("c_mktsegment").agg(F.sort_array(F.collect_set("file")).alias("files"))
+    before.write.parquet(f"{ws.scratch}/files")
+    ws.load_silver(
+        "SELECT c_custkey, c_acctbal + 100 AS c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'",
+        LOAD_TYPE="MERGE",
+        MERGE_KEYS="c_custkey",
+    )
+    predicate = "c_mktsegment = 'MACHINERY' AND c_acctbal < 0"
+    delete_rows(spark, ws.site, ws.silver, "result", predicate)
+    after = files().groupBy("c_mktsegment").agg(F.sort_array(F.collect_set("file")).alias("files"))
+    kept = after.join(spark.read.parquet(f"{ws.scratch}/files"), ["c_mktsegment", "files"])
+    totals = ws.result(ws.silver, "result").groupBy("c_mktsegment").agg(
+        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")
+    )
+    kept = kept.select("c_mktsegment", F.lit(True).alias("kept"))
+    return totals.join(kept, "c_mktsegment", "left").select(
+        "c_mktsegment", "n", "total", F.coalesce("kept", F.lit(False)).alias("is_untouched")
+    )
+
+
+@checks.add("""
+SELECT c_custkey, c_nationkey, n_orders, c_acctbal + CASE WHEN c_nationkey < 5 THEN 100 ELSE 0 END AS c_acctbal
+FROM customer JOIN (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey) o
+ON c_custkey = o_custkey WHERE c_acctbal >= 0 OR c_nationkey < 5
+""")
+def load_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed target can be joined by its key after a load, a merge and a delete."""
+    ws = Workspace(spark, sf_dir, "load_merge_bucketed")
+    ws.land("customer", "orders")
+    ws.site.create_schema(spark, ws.silver)
+    name = ws.site.table(ws.silver, "result")
+    spark.sql(
+        f"CREATE TABLE {name} (c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE) USING parquet "
+        "CLUSTERED BY (c_custkey) SORTED BY (c_custkey) INTO 8 BUCKETS"
+    )
+    ws.load_silver("SELECT c_custkey, c_nationkey, c_acctbal FROM customer", LOAD_TYPE="FULL")
+    delete_rows(spark, ws.site, ws.silver, "result", "c_acctbal < 0")
+    ws.load_silver(
+        "SELECT c_custkey, c_nationkey, c_acctbal + 100 AS c_acctbal FROM customer WHERE c_nationkey < 5",
+        LOAD_TYPE="MERGE",
+        MERGE_KEYS="c_custkey",
+    )
+    orders = ws.result(ws.bronze, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+    orders = orders.agg(F.count("*").alias("n_orders"))
+    return ws.result(ws.silver, "result").join(orders, "c_custkey").select(
+        "c_custkey", "c_nationkey", "n_orders", "c_acctbal"
+    )
+
+
 @checks.add("""
 SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_nationkey < 5 THEN 100 ELSE 0 END AS c_acctbal,
        TRUE AS is_partitioned
