@@ -15,13 +15,17 @@ def _quality_rules() -> str:
             for sign, bound in ((">=", rule.least), ("<=", rule.most))
             if bound is not None
         )
-        for rule in quality_rules.RULES
+        for rule in quality_rules.CORPUS_RULES
     )
+    languages = ", ".join(f"'{name}'" for name in ("", "und", *quality_rules.LANGUAGES))
     return rf"""
 WITH texts AS (
-    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+           lower(coalesce(regexp_extract(lang, '^\s*(\p{{L}}*)', 1), '')) IN ({languages}) AS named
+    FROM documents
 ), parts AS (
-    SELECT rid, doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
+    SELECT rid, doc_id, t, named, regexp_extract_all(t, '{_WORD}') AS w,
+           length(regexp_replace(t, '[\P{{L}}{quality_rules.LETTERS}]+', '', 'g')) AS other_letters,
            list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines
     FROM texts
 ), windows AS (
@@ -38,9 +42,14 @@ WITH texts AS (
            length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
            len(lines)::BIGINT AS n_lines,
            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-           len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
-           coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word,
-           coalesce(n, 0)::BIGINT AS n_repeat_words, 1 AS one
+           length(array_to_string(list_filter(w, lambda x: length(x) > {quality_rules.LONG_WORD}), ''))
+               AS long_word_chars,
+           length(array_to_string(list_filter(w, lambda x: length(x) <= {quality_rules.LONG_WORD}), ''))
+               AS ordinary_chars,
+           len(list_filter(w, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop_words_any_case,
+           CASE WHEN named AND 100 * other_letters <= {quality_rules.FOREIGN_PERCENT}
+               * length(array_to_string(w, '')) THEN len(w) ELSE 0 END AS n_words_of_known_language,
+           coalesce(n, 0)::BIGINT AS n_repeat_words
     FROM parts LEFT JOIN covered USING (rid)
 ), judged AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts

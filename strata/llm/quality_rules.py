@@ -8,7 +8,7 @@ Defined results: a null text counts as empty (all counts zero, rejected for its
 rows are judged each for itself; other columns, also of the same names as the counts, pass
 through `judge` unread, as the counts live in one struct column whose name the caller chooses.
 
-`RULES` are those of the SQL check. `CORPUS_RULES` decide what a corpus keeps: words of over
+`RULES` is a plain table. `CORPUS_RULES` decide what a corpus keeps: words of over
 LONG_WORD characters (tokens, keys, data URIs) count by their share of the text and not in the mean
 word length, and stop words count in any case, and only where the list knows the language: not
 where `lang` names another one, nor where letters foreign to the list's languages are common.

@@ -92,8 +92,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.judge(docs, into="quality")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rules = quality_rules.CORPUS_RULES
+    judged = quality_rules.judge(docs, into="quality", rules=rules, lang="lang")
     counts = F.col("quality.counts")
     return judged.select(
         "doc_id",
