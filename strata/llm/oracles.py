@@ -173,7 +173,8 @@ SELECT doc_id, shard_slot, shard FROM keyed JOIN owners ON shard_slot = slot
 def _licenses() -> str:
     def canonical(text: str) -> str:
         made = f"lower(coalesce({text}, ''))"
-        steps = ((licenses.COPYRIGHT_LINE, "$1"), *licenses.SPELLINGS, (licenses.PUNCTUATION, " "))
+        first = ((licenses.COPYRIGHT_LINE, "$1"), (licenses.LIST_MARK, "$1"))
+        steps = (*first, *licenses.SPELLINGS, (licenses.PUNCTUATION, " "))
         for pattern, spelling in steps:
             to = spelling.replace("$", "\\")
             made = f"regexp_replace({made}, '{pattern}', '{to}', 'g')"
@@ -184,8 +185,7 @@ def _licenses() -> str:
 
     quoted = ", ".join(
         "('{}', '{}')".format(name, text.replace("'", "''"))
-        for name, several in licenses.KNOWN.items()
-        for text in several
+        for name, text in licenses.listed_texts()
     )
     return rf"""
 WITH known AS (

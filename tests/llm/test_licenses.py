@@ -56,3 +56,45 @@ def test_plan_is_native_and_moves_no_document(spark, word):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert word not in plan.split("BroadcastExchange")[0]
+
+
+BSD3 = """BSD 3-Clause License
+
+Copyright (c) 2019, A. Person and others.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+* Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+
+* Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation
+  and/or other materials provided with the distribution.
+
+* Neither the name of Example Org., Inc. nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+
+""".replace("Org., Inc.", "Org") + wrap(licenses.KNOWN["BSD-3-Clause"][0].split("permission. ")[1], 76)
+
+
+def test_published_files(spark):
+    """Full texts under their titles and copyright lines, at several wraps."""
+    files = []
+    for name, titles in licenses.TITLES.items():
+        full = next(text for text in licenses.KNOWN[name] if len(text) > licenses.FULL)
+        for width in (40, 62, 78):
+            for title in ("", *titles):
+                holder = f"Copyright (c) 2015-2024 {name} Authors <a@b.c>\nCopyright 2020, Others\n\n"
+                files.append((f"{title}\n\n{holder}{wrap(full, width)}\n", name))
+    files += [(BSD3, "BSD-3-Clause"), (BSD3 + "\nAnd one more condition.", None)]
+    df = spark.createDataFrame([(n, text) for n, (text, _) in enumerate(files)], "id int, text string")
+    got = {r.id: r.licenses.license for r in licenses.scan(df).collect()}
+    assert [got[n] for n in range(len(files))] == [name for _, name in files]
+
+
+def test_clashing_column(spark):
+    with pytest.raises(ValueError):
+        licenses.scan(spark.createDataFrame([("a", 1)], "text string, licenses int"))
