@@ -151,10 +151,8 @@ def _numbers(df: DataFrame, vec_id: str, vector: str, label: str) -> DataFrame:
 
 
 def _length(v: str) -> Column:
-    """The same of an array."""
-    most = F.array_max(F.transform(v, F.abs))
-    squares = F.aggregate(v, F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
-    return F.when(most > 0, most * F.sqrt(squares)).otherwise(0.0)
+    """The same of an array, infinite where squares overflow: it only deals rows and anchors."""
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x))
 
 
 def _small(vectors: np.ndarray) -> tuple[str, bytes]:
