@@ -163,10 +163,13 @@ WITH RECURSIVE prefs AS MATERIALIZED (
 ), owners AS (
     SELECT slot, ([{names}])[(claim - 1) % {len(shards)} + 1] AS shard FROM claims WHERE claim > 0
 ), keyed AS (
-    SELECT doc_id, ({first.format("coalesce('=' || doc_id, '-')")} % {size})::INT AS shard_slot
+    SELECT doc_id, source, text, ({first.format("concat_ws(chr(31), coalesce('=' || source, '-'), coalesce('=' || doc_id, '-'))")} % {size})::INT
+           AS shard_slot
     FROM documents
 )
-SELECT doc_id, shard_slot, shard FROM keyed JOIN owners ON shard_slot = slot
+SELECT doc_id, source, shard_slot, shard, count(*) OVER (PARTITION BY shard) AS shard_rows,
+       sum(length(text)) OVER (PARTITION BY shard)::BIGINT AS shard_chars
+FROM keyed JOIN owners ON shard_slot = slot
 """
 
 

@@ -112,8 +112,17 @@ SHARDS = [f"shard-{n:03d}" for n in range(64)]
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return sharding.place(docs, ["doc_id"], SHARDS).select("doc_id", "shard_slot", "shard")
+    docs = table(spark, sf_dir, "documents")
+    # A source may hold a third of all documents, so its documents are spread by their ids.
+    placed = sharding.place(docs, ["source"], SHARDS, spread=["doc_id"])
+    path = scratch(spark, "shards")
+    sharding.write(placed, path)
+    held = sharding.read(spark, path, placed.schema)
+    # A row for each shard.
+    sizes = held.groupBy("shard").agg(
+        F.count("*").alias("shard_rows"), F.sum(F.length("text")).alias("shard_chars")
+    )
+    return held.select("doc_id", "source", "shard_slot", "shard").join(F.broadcast(sizes), "shard")
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Slots of the table at most: a broadcast of about 16 MB.
 MOST_SLOTS = 1 << 20
@@ -99,3 +100,17 @@ def place(
     columns = [F.col(f"`{name}`") for name in [*key, *(spread or [])]]
     # At most MOST_SLOTS rows, whatever the data's size.
     return df.withColumn(slot, slot_of(size, *columns)).join(F.broadcast(table), slot)
+
+
+def write(placed: DataFrame, path: str, into: str = "shard") -> None:
+    """Write whole rows below path, a folder a shard.
+
+    Rows travel by shard and slot, so that a task writes to few shards and no shard is one task's.
+    """
+    ordered = placed.repartitionByRange(F.col(into), F.col(f"{into}_slot"))
+    ordered.write.partitionBy(into).parquet(path)
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows below path with the columns of a schema; the shard is the folder's."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

@@ -69,3 +69,25 @@ def test_a_hot_key_can_be_spread(spark):
 def test_the_table_is_broadcast(spark):
     plan = sharding.place(spark.range(10), ["id"], NAMES)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_rows_are_written_by_shard(spark, tmp_path):
+    """Whole rows come back from their shards, a hot key's from many."""
+    names = [f"s{n}" for n in range(8)]
+    docs = spark.range(4000).selectExpr(
+        "IF(id % 50 = 0, NULL, id) AS doc_id", "IF(id % 3 = 0, 'hot', CAST(id % 40 AS STRING)) AS source",
+        "repeat('t', CAST(id % 7 AS INT)) AS text", "id AS slot",
+    )
+    placed = sharding.place(docs, ["source"], names, spread=["doc_id"])
+    path = f"{tmp_path}/shards"
+    sharding.write(placed, path)
+    held = sharding.read(spark, path, placed.schema)
+    assert held.schema.names == placed.schema.names
+    assert sorted(map(repr, held.collect())) == sorted(map(repr, placed.collect()))
+    hot = held.where("source = 'hot'").groupBy("shard").count().collect()
+    assert len(hot) == 8 and max(r["count"] for r in hot) < 2 * 1334 / 8 + 40
+    shards = {f.rsplit("/", 2)[1] for f in spark.read.parquet(path).inputFiles()}
+    assert shards == {f"shard={name}" for name in names}
+    empty = f"{tmp_path}/none"
+    sharding.write(placed.where("false"), empty)
+    assert sharding.read(spark, empty, placed.schema).count() == 0
