@@ -132,11 +132,17 @@ class _Merge:
             listed = _sized(repeated)
             single = _staged(keyed.join(listed, keys, "left_anti"), f"{self.staging}/single")
             unmatched = unkeyed.unionByName(keyed.join(listed, keys, "left_semi"))
+        rows = single.count()
+        self.limited = rows > BROADCAST_ROWS
         flagged = self.before.provider in FLAGGED_FORMATS and FLAG not in by_lower_name(self.before.columns)
-        if flagged and not _few(single.sparkSession, [single, repeated]):
+        if flagged and (self.limited or not _few(single.sparkSession, [single, repeated])):
             return self._in_one_pass(target, changes, single, unmatched, repeated)
         return self._after_a_look(target, changes, single, unmatched, repeated)
 
+    def _sized(self, df: DataFrame) -> DataFrame:
+        """Rows of which there are as many as changes with a key of their own, or fewer."""
+        return df.hint("merge") if self.limited else df
+
     def _conflict(self) -> MergeConflict:
         return MergeConflict(f"Several source rows match one row of {self.name} on {', '.join(self.keys)}.")
 
@@ -152,7 +158,7 @@ class _Merge:
         keys, partitions = self.keys, self.before.partitions
         if repeated is not None and not _present_in(target, _sized(repeated), keys).isEmpty():
             raise self._conflict()
-        joinable = _sized(single)
+        joinable = self._sized(single)
         looked = list(dict.fromkeys([*keys, *partitions]))
         matched = _staged(
             target.select(*looked).join(joinable.select(*keys), keys, "left_semi").distinct(),
@@ -160,7 +166,7 @@ class _Merge:
         )
         if matched.isEmpty():
             return append(changes, self.site, self.schema, self.table, self.before)
-        found = _sized(matched.select(*keys).distinct())
+        found = self._sized(matched.select(*keys).distinct())
         inserted = self._inserted(unmatched.unionByName(single.join(found, keys, "left_anti")))
         if partitions:
             touched = matched.select(*partitions).union(inserted.select(*partitions))
@@ -195,7 +201,7 @@ class _Merge:
         if partitions and all(c.lower() in by_key for c in partitions):
             # Matches and new rows are in the partitions that the changes name.
             target = in_partitions(target, partitions, touched_partitions(changes.select(*partitions), partitions))
-        asked = _sized(single).withColumn(FLAG, F.lit(UPDATED).cast("byte"))
+        asked = self._sized(single).withColumn(FLAG, F.lit(UPDATED).cast("byte"))
         if repeated is not None:
             met = repeated.withColumn(FLAG, F.lit(REPEATED).cast("byte"))
             asked = asked.unionByName(met, allowMissingColumns=True)
@@ -210,7 +216,7 @@ class _Merge:
                 write.discard()
                 return append(changes, self.site, self.schema, self.table, self.before)
             matched = _staged(flagged.select(*looked).distinct(), f"{self.staging}/matched")
-            found = _sized(matched.select(*keys).distinct())
+            found = self._sized(matched.select(*keys).distinct())
             inserted = self._inserted(unmatched.unionByName(single.join(found, keys, "left_anti")))
             if partitions:
                 inserted = _staged(inserted, f"{self.staging}/inserted")
@@ -232,11 +238,10 @@ class _Merge:
 
 
 def _few(spark: SparkSession, frames: list[DataFrame | None]) -> bool:
-    """Whether staged frames are small enough to broadcast, by bytes and by rows."""
+    """Whether staged frames of a limited number of rows are small enough to broadcast."""
     most = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
     held = [df for df in frames if df is not None]
-    size = sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in held)
-    return size <= most and sum(df.count() for df in held) <= BROADCAST_ROWS
+    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in held) <= most
 
 
 def _update_columns(

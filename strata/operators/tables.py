@@ -56,8 +56,13 @@ class Layout(NamedTuple):
         return self.provider == "delta"
 
 
+def _class(spark: SparkSession, name: str):
+    """A class of the JVM; its whole name at once is one question to the JVM, not one for each part."""
+    return getattr(spark._jvm, name)
+
+
 def _path(spark: SparkSession, location):
-    return spark._jvm.org.apache.hadoop.fs.Path(location)
+    return _class(spark, "org.apache.hadoop.fs.Path")(location)
 
 
 def _files(spark: SparkSession, path):
@@ -65,40 +70,48 @@ def _files(spark: SparkSession, path):
 
 
 def _java(spark: SparkSession, scala):
-    return spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(scala)
+    return _class(spark, "scala.jdk.javaapi.CollectionConverters").asJava(scala)
+
+
+def _list(names) -> list[str]:
+    """A Scala sequence of names, in one call."""
+    joined = names.mkString("\x1e")
+    return joined.split("\x1e") if joined else []
+
+
+def _dict(pairs) -> dict[str, str]:
+    """A Scala map of texts, in one call."""
+    listed = (pair.partition(" -> ") for pair in _list(pairs))
+    return {key: value for key, _, value in listed}
 
 
 def layout_of(spark: SparkSession, site: Site, schema: str, table: str) -> Layout | None:
     """The layout of a table or view, None where there is none. One call of the catalog."""
     if not spark.catalog.tableExists(site.table(schema, table)):
         return None
-    jvm = spark._jvm
-    names = spark.sparkContext._gateway.new_array(jvm.java.lang.String, 1)
+    names = spark.sparkContext._gateway.new_array(_class(spark, "java.lang.String"), 1)
     names[0] = schema
+    named = _class(spark, "org.apache.spark.sql.connector.catalog.Identifier").of(names, table)
     catalog = spark._jsparkSession.sessionState().catalogManager().catalog(site.catalog)
-    found = catalog.loadTable(jvm.org.apache.spark.sql.connector.catalog.Identifier.of(names, table))
+    found = catalog.loadTable(named)
     if not found.getClass().getSimpleName() == "V1Table":
         return Layout((found.properties().get("provider") or "").lower())
     known = found.catalogTable()
     optional = lambda option, default="": option.get() if option.isDefined() else default
     spec = optional(known.bucketSpec(), None)
-    properties = dict(_java(spark, known.properties()))
+    properties = _dict(known.properties())
     storage = known.storage()
     location = optional(storage.locationUri(), None)
     return Layout(
         optional(known.provider()).lower(),
         StructType.fromJson(json.loads(known.schema().json())),
-        list(_java(spark, known.partitionColumnNames())),
-        Buckets(
-            spec.numBuckets(),
-            list(_java(spark, spec.bucketColumnNames())),
-            list(_java(spark, spec.sortColumnNames())),
-        )
+        _list(known.partitionColumnNames()),
+        Buckets(spec.numBuckets(), _list(spec.bucketColumnNames()), _list(spec.sortColumnNames()))
         if spec
         else None,
         optional(known.comment()),
         {k: v for k, v in properties.items() if k not in _OWN},
-        {k: v for k, v in dict(_java(spark, storage.properties())).items() if k != "path"},
+        {k: v for k, v in _dict(storage.properties()).items() if k != "path"},
         _path(spark, location).toString() if location else "",
         known.tableType().name() == "MANAGED",
         {k: v for k, v in properties.items() if k in _OWN},
@@ -112,7 +125,7 @@ def stages_of(spark: SparkSession, site: Site, schema: str, table: str) -> list[
         return []
     found = state.catalog().externalCatalog().listTables(schema, f"*{STAGE_MARK}*")
     start = f"{table}{STAGE_MARK}".lower()
-    return [name for name in _java(spark, found) if name.lower().startswith(start)]
+    return [name for name in _list(found) if name.lower().startswith(start)]
 
 
 def stage_name(table: str) -> str:
@@ -192,12 +205,12 @@ Spec = tuple[str, ...]
 
 def partitions_of(spark: SparkSession, schema: str, table: str, columns: list[str]) -> dict[Spec, str]:
     """The registered partitions of a table and where they are."""
-    jvm = spark._jvm
-    name = jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, jvm.scala.Option.apply(schema))
+    option = _class(spark, "scala.Option")
+    name = _class(spark, "org.apache.spark.sql.catalyst.TableIdentifier")(table, option.apply(schema))
     catalog = spark._jsparkSession.sessionState().catalog()
     found = {}
-    for known in _java(spark, catalog.listPartitions(name, jvm.scala.Option.empty())):
-        values = {k.lower(): v for k, v in dict(_java(spark, known.spec())).items()}
+    for known in _java(spark, catalog.listPartitions(name, option.empty())):
+        values = {k.lower(): v for k, v in _dict(known.spec()).items()}
         spec = tuple(values[column.lower()] for column in columns)
         found[spec] = _path(spark, known.location()).toString()
     return found
