@@ -267,3 +267,12 @@ def test_counts_need_no_scan(spark, make, site, silver, monkeypatch):
     assert load(1, "APPEND") == 7 and len(counted) == 1
     assert load(2, "APPEND") == 9 and len(counted) == 1
     assert load(3, "MERGE") == 9
+
+
+def test_one_repeated_key_is_combined_before_it_travels(spark):
+    """However often the changes repeat a key, a task sends it once."""
+    changes = spark.range(5000).selectExpr("1 AS k", "id AS v")
+    repeated = merging._repeated_keys(changes, ["k"])
+    assert [tuple(row) for row in repeated.collect()] == [(1,)]
+    plan = repeated._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("partial_count")
