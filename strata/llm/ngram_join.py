@@ -392,7 +392,11 @@ def tied(points: DataFrame) -> DataFrame:
 
 
 def links(
-    points: DataFrame, texts: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR
+    points: DataFrame,
+    texts: DataFrame,
+    width: int = WIDTH,
+    similar: tuple[int, int] = SIMILAR,
+    slice_grams: int = SLICE_GRAMS,
 ) -> DataFrame:
     """Pairs (a, b), a > b, that join the same sets as all links of settled points (node, size,
     signatures) do; a pair may be joined by several links. texts: (node, text). Both have any number of rows a node."""
@@ -402,7 +406,7 @@ def links(
     groups = settle(groups.join(sizes, "node"), "groups")
     cut = groups.groupBy("group").agg(
         F.greatest(
-            F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("size") / SLICE_GRAMS), F.lit(1)
+            F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("size") / slice_grams), F.lit(1)
         ).alias("slices")
     )
     placed = groups.join(cut, "group").withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")))
@@ -434,7 +438,7 @@ def links(
     asking = apart.select("group", "node", "size", "slices")
     blocks = asking.groupBy("group").agg(
         F.greatest(
-            F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("size") / SLICE_GRAMS), F.lit(1)
+            F.ceil(F.count("*") / SLICE_SETS), F.ceil(F.sum("size") / slice_grams), F.lit(1)
         ).alias("blocks")
     )
     blocks = settle(blocks, "blocks")
