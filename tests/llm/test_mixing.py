@@ -56,13 +56,14 @@ def test_words_come_near_the_targets(spark):
 
 
 def test_probabilities_are_unequal(spark):
-    """One of two sources reaches its limit, so the other is sampled: large documents more often."""
+    """The first of two sources weighs more and reaches its limit, so the other is sampled: large
+    documents more often."""
     docs = spark.range(2000).select(
         F.col("id").alias("doc_id"),
         F.lit("s").alias("source"),
         F.expr("repeat('w ', cast(if(id % 2 = 0, 1, 32) as int))").alias("text"),
     )
-    other = spark.createDataFrame([(9999, "t", "w " * 60000)], "doc_id long, source string, text string")
+    other = spark.createDataFrame([(9999, "a", "w " * 6000)], "doc_id long, source string, text string")
     rows = [r for r in mixing.plan(docs.union(other)).collect() if r.source == "s"]
     small = sum(r.copies for r in rows if r.size == 1) / 1000
     large = sum(r.copies for r in rows if r.size == 32) / 1000
