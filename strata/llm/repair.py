@@ -2,8 +2,10 @@
 
 Writing: documents are dealt by ranges of their id, sorted, encoded, and gathered into blocks of
 about BLOCK_IDS ids, whole documents each. In a block, frequent neighbours become a nonterminal,
-round by round with a falling threshold: pairs that a round finds often enough are replaced at
-once, the more frequent first where two overlap, never across documents. A rule (left, right) is
+round by round until no pair pays for its rule: all pairs that occur half as often as the most
+frequent one, or more, are replaced at once, the more frequent first where two overlap, never
+across documents. Pairs are counted exactly, and a round looks only at places whose pair is frequent or
+has changed. A rule (left, right) is
 stored with the length of its expansion, so that any part of a document is found by adding up
 lengths and decoded alone (`decode_part`).
 
@@ -35,11 +37,10 @@ from strata.llm.tokens import word_ids
 END = 2
 TERMINALS = 1 << 16
 BLOCK_IDS = 1 << 20
-#: A round's pairs occur at least once in so many ids, and at least LEAST_USES times.
-ROUNDS = (1 << 10, 1 << 13, 1 << 15, 1 << 17)
-LEAST_USES = 8
-#: Counters of a round. Of pairs that fall on one counter, one is seen; the next round mixes anew.
-COUNTERS = 1 << 18
+#: A rule takes twelve bytes and saves three a use.
+LEAST_USES = 5
+#: Counters that sort out rare pairs before the others are counted exactly.
+COUNTERS = 1 << 20
 #: Stands for a document's end id while pairs are sought; no token has it.
 _MARK = TERMINALS - 1
 #: Symbols of a block fit 24 bits.
@@ -68,56 +69,121 @@ def _chosen(score: np.ndarray) -> np.ndarray:
     return np.flatnonzero(best)
 
 
+class _Sequence:
+    """The symbols of a block as a list of places, each knowing the next and the one before, and
+    the counter of the pair that starts there.
+
+    Pairs that share a counter are counted too high, never too low.
+    """
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        self.symbols = symbols
+        places = np.arange(len(symbols) + 1)
+        self.next, self.last = places + 1, places - 1
+        self.alive = np.ones(len(symbols), bool)
+        self.slot = np.full(len(symbols), COUNTERS, np.int32)
+        self._slot(places[:-1])
+        self.counts = np.bincount(self.slot, minlength=COUNTERS + 1).astype(np.int32)
+        self.counts[COUNTERS] = 0
+
+    def keys(self, places: np.ndarray) -> np.ndarray:
+        return (self.symbols[places] << 24) | self.symbols[self.next[places]]
+
+    def _slot(self, places: np.ndarray) -> None:
+        after = self.next[places]
+        inside = after < len(self.symbols)
+        places, after = places[inside], after[inside]
+        left, right = self.symbols[places], self.symbols[after]
+        inside = (left != _MARK) & (right != _MARK)
+        mixed = ((left[inside] << 24) | right[inside]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.slot[places[inside]] = (mixed >> np.uint64(64 - COUNTERS.bit_length() + 1)).view(np.int64)
+
+    def replace(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Put a symbol for each of those pairs; returns the places whose pair is another now."""
+        gone = self.next[places]
+        after = self.next[gone]
+        self.symbols[places] = symbols
+        self.next[places], self.last[after] = after, places
+        self.alive[gone] = False
+        before = self.last[places]
+        changed = np.sort(np.concatenate([places, before[before >= 0]]))
+        changed = changed[np.append(True, changed[1:] != changed[:-1])]
+        left = np.concatenate([changed, gone])
+        np.subtract.at(self.counts, self.slot[left], np.int32(1))
+        self.slot[left] = COUNTERS
+        self._slot(changed)
+        np.add.at(self.counts, self.slot[changed], np.int32(1))
+        self.counts[COUNTERS] = 0
+        return changed
+
+
+def _apart(held: _Sequence, places: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Which of the pairs at those places go, no two of which overlap."""
+    # Neighbours stand next to each other; what lies between others scores nothing.
+    shift = np.arange(len(places)) + np.append(0, np.cumsum(held.next[places[:-1]] != places[1:]))[: len(places)]
+    spread = np.zeros(int(shift[-1]) + 1 if len(shift) else 0, np.int64)
+    spread[shift] = score
+    chosen = np.zeros(len(spread), bool)
+    chosen[_chosen(spread)] = True
+    return chosen[shift]
+
+
 def compress(documents: list[np.ndarray]) -> Grammar:
-    """The grammar of a block of documents, each with its end id, which no rule takes in."""
+    """The grammar of a block of documents, each with its end id, which no rule takes in.
+
+    Ends when no pair is left that occurs LEAST_USES times apart from itself.
+    """
     symbols = np.concatenate(documents).astype(np.int64)
-    total = len(symbols)
     symbols[np.cumsum([len(x) for x in documents]) - 1] = _MARK
-    lefts, rights, lengths = [], [], []
-    size_of = np.ones(TERMINALS, np.int64)
-    numbers = np.arange(COUNTERS + 1)
-    for turn, share in enumerate(ROUNDS):
-        if len(symbols) < 2:
+    held = _Sequence(symbols)
+    rules: list[np.ndarray] = [np.empty(0, np.int64)]
+    made, least = 0, len(symbols)
+    # Places of pairs that may be frequent. One that is not can only become so by a replacement
+    # next to it, which brings it back.
+    maybe = np.ones(len(symbols), bool)
+    while True:
+        places = np.flatnonzero(maybe)
+        most = held.counts[held.slot[places]]
+        rare = most < LEAST_USES
+        maybe[places[rare]] = False
+        places, most = places[~rare], most[~rare]
+        if not len(places):
             break
-        keys = (symbols[:-1] << 24) | symbols[1:]
-        # Fibonacci hashing with another odd factor each round; what can't be a pair counts apart.
-        slot = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)
-        slot >>= np.uint64(64 - COUNTERS.bit_length() + 1)
-        slot = slot.view(np.int64)
-        marks = np.flatnonzero(symbols == _MARK)
-        slot[marks[marks < len(slot)]] = COUNTERS
-        slot[marks[marks > 0] - 1] = COUNTERS
-        seen = np.zeros(COUNTERS + 1, np.int64)
-        seen[slot] = keys
-        slot[seen[slot] != keys] = COUNTERS
-        counts = np.bincount(slot, minlength=COUNTERS + 1)
-        counts[COUNTERS] = 0
+        least = max(LEAST_USES, min(least, int(most.max()) // 2))
+        at = places[most >= least]
+        known, number, counts = np.unique(held.keys(at), return_inverse=True, return_counts=True)
         # A score of its own for each pair, larger for more frequent ones.
-        frequent = counts >= max(LEAST_USES, total // share)
-        score = np.where(frequent, counts * (COUNTERS + 1) + numbers, 0)[slot]
-        places = _chosen(score)
-        uses = np.bincount(slot[places], minlength=COUNTERS + 1)
-        places = places[uses[slot[places]] >= LEAST_USES]
-        made = np.flatnonzero(uses >= LEAST_USES)
-        if not len(made) or len(size_of) + len(made) > MOST_RULES + TERMINALS:
+        score = np.where(counts >= least, counts * (len(counts) + 1) + np.arange(len(counts)), 0)
+        wanted = score[number] > 0
+        at, of = at[wanted], number[wanted]
+        chosen = _apart(held, at, score[of])
+        at, of = at[chosen], of[chosen]
+        uses = np.bincount(of, minlength=len(counts))
+        rule = np.flatnonzero(uses >= LEAST_USES)
+        if not len(rule) or made + len(rule) > MOST_RULES:
+            if least == LEAST_USES:
+                break
+            least //= 2
             continue
-        number = np.zeros(COUNTERS + 1, np.int64)
-        number[made] = np.arange(len(size_of), len(size_of) + len(made))
-        left, right = seen[made] >> 24, seen[made] & 0xFFFFFF
-        lefts.append(left)
-        rights.append(right)
-        lengths.append(size_of[left] + size_of[right])
-        size_of = np.concatenate([size_of, lengths[-1]])
-        symbols[places] = number[slot[places]]
-        stays = np.ones(len(symbols), bool)
-        stays[places + 1] = False
-        symbols = symbols[stays]
-    none = [np.empty(0, np.int64)]
+        named = np.full(len(counts), -1)
+        named[rule] = TERMINALS + made + np.arange(len(rule))
+        rules.append(known[rule])
+        made += len(rule)
+        at, of = at[named[of] >= 0], of[named[of] >= 0]
+        maybe[held.replace(at, named[of])] = True
+    keys = np.concatenate(rules)
+    left, right = keys >> 24, keys & 0xFFFFFF
+    sizes = np.ones(TERMINALS + made, np.int64)
+    at = 0
+    for some in rules:
+        # A round's rules name symbols from before it.
+        to = at + len(some)
+        sizes[TERMINALS + at : TERMINALS + to] = sizes[left[at:to]] + sizes[right[at:to]]
+        at = to
+    symbols = held.symbols[held.alive]
     ends = np.flatnonzero(symbols == _MARK) + 1
     symbols[ends - 1] = END
-    return Grammar(
-        symbols, np.diff(ends, prepend=0), *(np.concatenate(x or none) for x in (lefts, rights, lengths))
-    )
+    return Grammar(symbols, np.diff(ends, prepend=0), left, right, sizes[TERMINALS:])
 
 
 class Expansions:

@@ -80,3 +80,20 @@ def test_odd_rows(spark, tmp_path, partitions):
     assert made == plain(spark, [r[:2] for r in rows])
     repair.write(docs.where("false"), str(tmp_path / "b"), vocabulary())
     assert repair.read(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_pairs_are_replaced_until_none_pays():
+    """Copies become a symbol or two each, whatever their number; no frequent pair is left."""
+    rng = np.random.default_rng(6)
+    doc = np.append(rng.integers(3, 40000, 511), repair.END).astype(np.uint16)
+    grammar = repair.compress([doc] * 500)
+    assert len(grammar.symbols) <= 1000 and len(grammar.left) < 600 and grammar.lengths.max() == 511
+    docs = [np.append(rng.zipf(1.3, 400) % 5000 + 3, repair.END).astype(np.uint16) for _ in range(60)]
+    grammar = repair.compress(docs)
+    expanded = repair.Expansions(grammar.left, grammar.right, grammar.lengths).expand(grammar.symbols)
+    assert (expanded == np.concatenate(docs)).all()
+    counts = {}
+    for left, right in zip(grammar.symbols[:-1].tolist(), grammar.symbols[1:].tolist()):
+        if repair.END not in (left, right) and left != right:
+            counts[left, right] = counts.get((left, right), 0) + 1
+    assert max(counts.values()) < 2 * repair.LEAST_USES
