@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -397,10 +397,13 @@ def links(
     width: int = WIDTH,
     similar: tuple[int, int] = SIMILAR,
     slice_grams: int = SLICE_GRAMS,
+    ties: Callable[[DataFrame], DataFrame] = tied,
 ) -> DataFrame:
     """Pairs (a, b), a > b, that join the same sets as all links of settled points (node, size,
-    signatures) do; a pair may be joined by several links. texts: (node, text). Both have any number of rows a node."""
-    roots = tied(points)
+    signatures) do; a pair may be joined by several links. texts: (node, text). Both have any number of rows a node.
+
+    ties: makes (node, root) of the points, for what may link; it may read other columns than signatures."""
+    roots = ties(points)
     groups = roots.union(roots.select("root", "root").distinct()).toDF("node", "group")
     sizes = points.groupBy("node").agg(F.first("size").alias("size"))
     groups = settle(groups.join(sizes, "node"), "groups")
