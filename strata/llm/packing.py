@@ -147,9 +147,8 @@ def pack(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
             end = np.array([END], np.uint16)
             for batch in batches:
                 ids, texts = batch.columns
-                for k in range(batch.num_rows):
-                    found = encoder.encode([texts[k].as_py()])[0]
-                    yield from shelf.add(ids[k].as_py(), np.append(found, end))
+                for doc_id, found in zip(ids.to_pylist(), encoder.encoded(texts), strict=True):
+                    yield from shelf.add(doc_id, np.append(found, end))
             yield from shelf.drain()
 
         yield from _numbered(sequences(), TaskContext.get().partitionId() << 32)

@@ -279,9 +279,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", t
         documents: list[np.ndarray] = []
         for batch in batches:
             ids, texts = batch.columns
-            for k in range(batch.num_rows):
-                documents.append(np.append(encoder.encode([texts[k].as_py()])[0], end))
-                doc_ids.append(ids[k].as_py())
+            for doc_id, text in zip(ids.to_pylist(), encoder.encoded(texts), strict=True):
+                documents.append(np.append(text, end))
+                doc_ids.append(doc_id)
                 held += len(documents[-1])
                 if held >= BLOCK_IDS:
                     yield _block(shard, block, before, doc_ids, documents)

@@ -2,18 +2,24 @@
 
 The word tokenizer splits at white space and never merges across it, so a text's ids are those of
 its words in order. A worker keeps the ids of the words that it has met; only new words go to the
-tokenizer. Splits are used where they hold for any text: at the blanks that the tokenizer knows,
-and between a run of ASCII letters and ASCII punctuation that ends a word.
+tokenizer. Splits are used where they hold for any text: at ASCII blanks (other white space stays
+inside a word, which the tokenizer splits), and between a run of ASCII letters and ASCII punctuation
+that ends a word. Texts are taken in groups, whose distinct words are looked up together.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from strata.llm.common import BLANK_CLASS
 
 #: Words that a worker remembers, some forty bytes each. Beyond it, it starts anew.
 REMEMBERED = 2_000_000
@@ -24,9 +30,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ALL = (1 << 64) - 1
 
 _ENDED = re.compile(r"([A-Za-z]+)([,.;:!?#$%&*]+)", re.ASCII)
-#: Blank to Python, but not to the tokenizer.
-_ODD = re.compile(r"[^\S\x1c-\x1f]+")
-_LETTERS = re.compile(r"[A-Za-z]+", re.ASCII)
+#: Characters of a group of texts, and of a piece of a long one, about.
+GROUP = 1 << 20
 
 
 class WordIds:
@@ -70,28 +75,21 @@ class WordIds:
             other = other[wrong]
         return rows
 
-    def _add(self, word: str) -> tuple[int, bool]:
-        """The word's row, and whether it is new."""
-        if 2 * self._count >= 1 << self._bits:
-            self._grow()
-        key, mask = hash(word), (1 << self._bits) - 1
-        place = (key * int(_MIX) & _ALL) >> (64 - self._bits)
-        while (row := self._rows[place]) >= 0:
-            if self._hashes[place] == key:
-                return int(row), False
-            place = (place + 1) & mask
-        self._hashes[place], self._rows[place] = key, self._count
-        self._count += 1
-        return self._count - 1, True
-
-    def _grow(self) -> None:
-        hashes, rows = self._hashes, self._rows
-        self._bits += 1
-        self._hashes, self._rows = self._empty()
-        mask = (1 << self._bits) - 1
-        held = np.flatnonzero(rows >= 0)
-        hashes, rows = hashes[held], rows[held]
-        places = self._places(hashes)
+    def _add(self, hashes: np.ndarray) -> np.ndarray:
+        """The rows of new words of those hashes."""
+        rows = np.arange(self._count, self._count + len(hashes))
+        self._count += len(hashes)
+        if 2 * self._count > 1 << self._bits:
+            held = np.flatnonzero(self._rows >= 0)
+            before = self._hashes[held], self._rows[held]
+            self._bits = (2 * self._count - 1).bit_length()
+            self._hashes, self._rows = self._empty()
+            self._place(*before)
+        self._place(hashes, rows)
+        return rows
+
+    def _place(self, hashes: np.ndarray, rows: np.ndarray) -> None:
+        places, mask = self._places(hashes), (1 << self._bits) - 1
         while len(rows):
             free = self._rows[places] < 0
             # Of several that want a free place, the last one written has it.
@@ -100,7 +98,7 @@ class WordIds:
             self._hashes[places[settled]] = hashes[settled]
             hashes, rows, places = hashes[~settled], rows[~settled], (places[~settled] + 1) & mask
 
-    def _keep(self, numbers: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """ids holds the words' ids one after the other."""
         while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
@@ -121,81 +119,103 @@ class WordIds:
         shift = np.repeat(self._starts[rows] - ends + sizes, sizes)
         return self._ids[shift + np.arange(ends[-1])]
 
-    def _learn(self, words: Iterable[str]) -> None:
-        """Encode words that aren't known yet."""
-        joined: list[tuple[int, int, int]] = []
-        numbers, ids, sizes = [], [], []
-        others: dict[str, int] = {}
-
-        def letters(word: str) -> int:
-            number, is_new = self._add(word)
-            if is_new:
-                # Nothing to normalise or split but case, so the model alone has the ids.
-                found = [token.id for token in self._model.tokenize(word.lower())]
-                numbers.append(number)
-                ids.extend(found)
-                sizes.append(len(found))
-            return number
-
+    def _new(self, words: Iterable[str]) -> tuple[list[str], np.ndarray]:
+        """Those of several different words that aren't known yet, and their rows from now on."""
+        words = list(words)
+        hashes = _hashes(words)
+        unknown = np.flatnonzero(self._find(hashes) < 0)
+        return [words[k] for k in unknown.tolist()], self._add(hashes[unknown])
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode different words that aren't known yet."""
+        letters: dict[str, None] = {}
+        others: dict[str, None] = {}
+        joined: dict[str, tuple[str, str]] = {}
         for word in words:
-            if _LETTERS.fullmatch(word):
-                letters(word)
-                continue
-            number, is_new = self._add(word)
-            if not is_new:
-                continue
-            if ended := _ENDED.fullmatch(word):
-                ending, is_new = self._add(ended[2])
-                if is_new:
-                    others[ended[2]] = ending
-                joined.append((number, letters(ended[1]), ending))
+            if word.isascii() and word.isalpha():
+                letters[word] = None
+            elif ended := _ENDED.fullmatch(word):
+                joined[word] = parts = ended[1], ended[2]
+                letters[parts[0]] = others[parts[1]] = None
             else:
-                others[word] = number
-        for number, made in zip(
-            others.values(),
-            self._tokenizer.encode_batch_fast(list(others), add_special_tokens=False),
-            strict=True,
-        ):
-            numbers.append(number)
-            ids.extend(made.ids)
-            sizes.append(len(made.ids))
-        self._keep(numbers, np.array(ids, np.uint16), np.array(sizes, np.int64))
-        if joined:
-            whole, *parts = np.array(joined).T
+                others[word] = None
+        new, rows = self._new(letters)
+        # Nothing to normalise or split but case, so the model alone has the ids.
+        tokenize = self._model.tokenize
+        self._keep_lists(rows, [[token.id for token in tokenize(word.lower())] for word in new])
+        new, rows = self._new(others)
+        made = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self._keep_lists(rows, [one.ids for one in made])
+        new, rows = self._new(joined)
+        if new:
+            parts = [self._find(_hashes([joined[word][n] for word in new])) for n in range(2)]
             sizes = self._sizes[parts[0]] + self._sizes[parts[1]]
-            self._keep(whole, self._gather(np.stack(parts, axis=1).ravel()), sizes.astype(np.int64))
+            self._keep(rows, self._gather(np.stack(parts, axis=1).ravel()), sizes.astype(np.int64))
+
+    def _keep_lists(self, rows: np.ndarray, ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint16, int(sizes.sum()))
+        self._keep(rows, flat, sizes)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; a null text is empty."""
         out: list[np.ndarray] = []
+        group: list[str] = []
+        held = 0
+        for text in texts:
+            text = text or ""
+            if held + len(text) > GROUP:
+                out += self._group(group)
+                group, held = [], 0
+            if len(text) > GROUP:
+                # A very long text is taken in pieces, so that its words are never all in memory.
+                parts = [self._group([piece])[0] for piece in _pieces(text)]
+                out.append(np.concatenate(parts))
+            else:
+                group.append(text)
+                held += len(text)
+        return out + self._group(group)
+
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, of which no more than a group are held."""
+        group: list[str | None] = []
+        held = 0
         for text in texts:
-            if self._count > REMEMBERED:
-                self.reset()
-            # A very long text is taken in pieces, so that its words are never all in memory.
-            parts = [self._words(piece) for piece in _pieces(text or "")]
-            out.append(parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, np.uint16), *parts]))
-        return out
-
-    def _words(self, text: str) -> np.ndarray:
-        words = _ODD.split(text) if _has_odd(text) else text.split()
-        hashes = np.fromiter(map(hash, words), np.int64, len(words))
+            group.append(text.as_py())
+            held += len(group[-1] or "")
+            if held >= GROUP:
+                yield from self.encode(group)
+                group, held = [], 0
+        yield from self.encode(group)
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        if self._count > REMEMBERED:
+            self.reset()
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = split.flatten().dictionary_encode()
+        known = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        hashes = _hashes(known)
         rows = self._find(hashes)
         unknown = np.flatnonzero(rows < 0)
         if len(unknown):
-            self._learn(dict.fromkeys([words[k] for k in unknown.tolist()]))
+            self._learn([known[k] for k in unknown.tolist()])
             rows[unknown] = self._find(hashes[unknown])
-        return self._gather(rows)
+        each = rows[words.indices.to_numpy()]
+        ends = np.append(0, np.cumsum(self._sizes[each], dtype=np.int64))
+        return np.split(self._gather(each), ends[split.offsets.to_numpy()[1:-1]])
 
 
-def _has_odd(text: str) -> bool:
-    return any(mark in text for mark in "\x1c\x1d\x1e\x1f")
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(hash, words), np.int64, len(words))
 
 
-def _pieces(text: str, size: int = 1 << 20) -> list[str]:
-    """The text cut at blanks into pieces of about that size; a word is never cut."""
+def _pieces(text: str, size: int = GROUP) -> list[str]:
+    """The text cut at ASCII blanks into pieces of about that size; a word is never cut."""
     if len(text) <= size:
         return [text]
-    cut = re.compile(r"[^\S\x1c-\x1f]")
+    cut = re.compile(rf"[{BLANK_CLASS}]")
     pieces, at = [], 0
     while at < len(text):
         found = cut.search(text, at + size)

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -49,3 +50,14 @@ def test_long_text_is_not_cut_inside_a_word(encoder, mark):
     assert len(head) == 1 << 20 and "".join(tokens._pieces(text)) == text
     tail = plain([text[len(head) - 16 :]])[0]
     assert encoder.encode([text])[0].tolist()[-len(tail) :] == tail
+
+
+def test_new_words_of_many_texts_are_learned_together(monkeypatch):
+    encoder, calls = tokens.WordIds(vocabulary()), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: calls.append(len(words)) or learn(words))
+    texts = [None, *(f"new{k} letters{'ab' * (k % 50)}, x" for k in range(1000))]
+    got = [x.tolist() for x in encoder.encoded(pa.array(texts, pa.string()))]
+    assert got == plain(texts) and len(calls) == 1
+    monkeypatch.setattr(tokens, "GROUP", 500)
+    assert [x.tolist() for x in encoder.encoded(pa.array(texts, pa.string()))] == got
