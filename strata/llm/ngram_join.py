@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import settle
+from strata.llm.common import map_batches, settle
 from strata.llm.simhash import components, label
 
 WIDTH = 3
@@ -166,7 +166,7 @@ def add_sets(docs: DataFrame, text: str, width: int, similar: tuple[int, int]) -
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "set"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("set", _SET)]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("set", _SET)]))
 
 
 # Tries
@@ -306,7 +306,7 @@ def _joined(members: DataFrame, width: int, similar: tuple[int, int]) -> DataFra
         yield _pairs(list(links(held)))
 
     ordered = members.select("part", "node", "probe", "text").repartition("part")
-    return ordered.sortWithinPartitions("part", "node").mapInArrow(run, _PAIR)
+    return map_batches(ordered.sortWithinPartitions("part", "node"), run, _PAIR)
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:

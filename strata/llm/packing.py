@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import map_batches
 from strata.llm.tokens import word_ids
 
 WINDOW = 2048
@@ -153,4 +154,4 @@ def pack(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
 
         yield from _numbered(sequences(), TaskContext.get().partitionId() << 32)
 
-    return docs.select(F.col(doc_id).cast("long"), text).mapInArrow(run, PIECES)
+    return map_batches(docs.select(F.col(doc_id).cast("long"), text), run, PIECES)

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import map_batches
+
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "pem", "key", "jwt")
 MASK = "[SECRET]"
@@ -377,8 +379,8 @@ def scan(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFram
 
     if into in docs.columns:
         raise ValueError(f"there is a column {into!r} already")
-    return docs.mapInArrow(
-        run, T.StructType([*docs.schema.fields, T.StructField(into, SPANS, False)])
+    return map_batches(
+        docs, run, T.StructType([*docs.schema.fields, T.StructField(into, SPANS, False)])
     )
 
 
@@ -392,7 +394,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             clean = [x and mask(x, find(x)) for x in texts]
             yield batch.set_column(k, batch.schema.field(k), pa.array(clean, batch.schema.field(k).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def digest(spans: Column) -> Column:
