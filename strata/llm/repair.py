@@ -4,8 +4,9 @@ Writing: documents are dealt by ranges of their id, sorted, encoded, and gathere
 about BLOCK_IDS ids, whole documents each. In a block, frequent neighbours become a nonterminal,
 round by round until no pair pays for its rule: all pairs that occur half as often as the most
 frequent one, or more, are replaced at once, the more frequent first where two overlap, never
-across documents. Pairs are counted exactly, and a round looks only at places whose pair is frequent or
-has changed. A rule (left, right) is
+across documents. Pairs are counted exactly. A replacement only makes pairs of symbols that are new in
+it, so a pair never becomes more frequent than it was at first: places lie in levels by what their
+pair counted last, and a round looks only at those levels that reach its bound. A rule (left, right) is
 stored with the length of its expansion, so that any part of a document is found by adding up
 lengths and decoded alone (`decode_part`).
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import settle
+from strata.llm.common import map_batches, settle
 from strata.llm.tokens import word_ids
 
 END = 2
@@ -69,6 +70,30 @@ def _chosen(score: np.ndarray) -> np.ndarray:
     return np.flatnonzero(best)
 
 
+def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The counters of those pairs; the last one where a document ends, which counts nothing."""
+    mixed = ((left << 24) | right).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    slots = (mixed >> np.uint64(64 - COUNTERS.bit_length() + 1)).view(np.int64)
+    slots[(left == _MARK) | (right == _MARK)] = COUNTERS
+    return slots
+
+
+def _where(mask: np.ndarray) -> np.ndarray:
+    """The places of a mask of whole words, by words where most are empty."""
+    if 32 * np.count_nonzero(mask) > len(mask):
+        return np.flatnonzero(mask)
+    word = np.flatnonzero(mask.view(np.uint64))
+    row, column = np.nonzero(mask.reshape(-1, 8)[word])
+    return 8 * word[row] + column
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Binary digits of counts, 0 for those too rare for a rule."""
+    digits = np.frexp(counts)[1].astype(np.int8)
+    digits[counts < LEAST_USES] = 0
+    return digits
+
+
 class _Sequence:
     """The symbols of a block as a list of places, each knowing the next and the one before, and
     the counter of the pair that starts there.
@@ -82,7 +107,7 @@ class _Sequence:
         self.next, self.last = places + 1, places - 1
         self.alive = np.ones(len(symbols), bool)
         self.slot = np.full(len(symbols), COUNTERS, np.int32)
-        self._slot(places[:-1])
+        self.slot[:-1] = _slots(symbols[:-1], symbols[1:])
         self.counts = np.bincount(self.slot, minlength=COUNTERS + 1).astype(np.int32)
         self.counts[COUNTERS] = 0
 
@@ -93,10 +118,10 @@ class _Sequence:
         after = self.next[places]
         inside = after < len(self.symbols)
         places, after = places[inside], after[inside]
-        left, right = self.symbols[places], self.symbols[after]
-        inside = (left != _MARK) & (right != _MARK)
-        mixed = ((left[inside] << 24) | right[inside]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        self.slot[places[inside]] = (mixed >> np.uint64(64 - COUNTERS.bit_length() + 1)).view(np.int64)
+        self.slot[places] = _slots(self.symbols[places], self.symbols[after])
+
+    def count(self, places: np.ndarray) -> np.ndarray:
+        return self.counts[self.slot[places]]
 
     def replace(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Put a symbol for each of those pairs; returns the places whose pair is another now."""
@@ -138,23 +163,31 @@ def compress(documents: list[np.ndarray]) -> Grammar:
     held = _Sequence(symbols)
     rules: list[np.ndarray] = [np.empty(0, np.int64)]
     made, least = 0, len(symbols)
-    # Places of pairs that may be frequent. One that is not can only become so by a replacement
-    # next to it, which brings it back.
-    maybe = np.ones(len(symbols), bool)
+    # Of what each place's pair counted when it was last looked at, or changed.
+    level = np.zeros(-(-len(symbols) // 8) * 8, np.int8)
+    level[: len(symbols)] = _levels(held.counts)[held.slot]
     while True:
-        places = np.flatnonzero(maybe)
-        most = held.counts[held.slot[places]]
-        rare = most < LEAST_USES
-        maybe[places[rare]] = False
-        places, most = places[~rare], most[~rare]
-        if not len(places):
+        most = 0
+        while top := int(level.max(initial=0)):
+            places = _where(level == top)
+            found = held.count(places)
+            most = int(found.max())
+            if most.bit_length() >= top:
+                break
+            level[places] = _levels(found)
+        if not top:
             break
-        least = max(LEAST_USES, min(least, int(most.max()) // 2))
-        at = places[most >= least]
+        least = max(LEAST_USES, min(least, most // 2))
+        places = _where(level >= least.bit_length())
+        found = held.count(places)
+        rare = found < least
+        level[places[rare]] = _levels(found[rare])
+        at = places[~rare]
         known, number, counts = np.unique(held.keys(at), return_inverse=True, return_counts=True)
         # A score of its own for each pair, larger for more frequent ones.
         score = np.where(counts >= least, counts * (len(counts) + 1) + np.arange(len(counts)), 0)
         wanted = score[number] > 0
+        level[at[~wanted]] = _levels(counts)[number[~wanted]]
         at, of = at[wanted], number[wanted]
         chosen = _apart(held, at, score[of])
         at, of = at[chosen], of[chosen]
@@ -170,7 +203,8 @@ def compress(documents: list[np.ndarray]) -> Grammar:
         rules.append(known[rule])
         made += len(rule)
         at, of = at[named[of] >= 0], of[named[of] >= 0]
-        maybe[held.replace(at, named[of])] = True
+        changed = held.replace(at, named[of])
+        level[changed] = _levels(held.count(changed))
     keys = np.concatenate(rules)
     left, right = keys >> 24, keys & 0xFFFFFF
     sizes = np.ones(TERMINALS + made, np.int64)
@@ -291,7 +325,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", t
 
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, BLOCKS).write.parquet(path)
+    map_batches(ordered, run, BLOCKS).write.parquet(path)
 
 
 DOCUMENTS = T.StructType(

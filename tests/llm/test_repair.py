@@ -97,3 +97,16 @@ def test_pairs_are_replaced_until_none_pays():
         if repair.END not in (left, right) and left != right:
             counts[left, right] = counts.get((left, right), 0) + 1
     assert max(counts.values()) < 2 * repair.LEAST_USES
+
+
+def test_rounds_look_only_at_what_may_be_frequent(monkeypatch):
+    """The places looked at in all rounds are a few times those of the block."""
+    looked = []
+    count = repair._Sequence.count
+    monkeypatch.setattr(
+        repair._Sequence, "count", lambda self, places: looked.append(len(places)) or count(self, places)
+    )
+    rng = np.random.default_rng(8)
+    docs = [np.append(rng.zipf(1.2, 2000) % 30000 + 3, repair.END).astype(np.uint16) for _ in range(50)]
+    round_trip(docs)
+    assert 0 < sum(looked) < 8 * sum(map(len, docs)), sum(looked) / sum(map(len, docs))
