@@ -11,8 +11,11 @@ bound falls below the kth score. The kth score is propagated: queries meet a fir
 (about the root of their number), and what they find there is where all others start from, so
 most of those give up near their root.
 
-Queries are packed into blocks, and each block meets each shard: every query against all rows, in
-blocks. A task holds a shard and a block of queries at a time.
+Queries are packed into blocks, blocks into groups of bounded bytes, and each group meets each shard:
+every query against all rows. A task holds a group of queries and meets shard after shard of a
+part of them, one at a time; the kth score rises from shard to shard. Copies of queries and of
+shards are shuffled, never broadcast: a copy of the queries for each part, one of the shards for each
+group, in about equal numbers of rows. Vectors travel in the narrowest type that holds them.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no part;
 a query meets vectors of its own length only; rows with the query's own id are left out, other
@@ -33,13 +36,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import settle
+from strata.llm.common import map_batches, settle
 
 SHARD_ROWS = 8192
 #: Bytes of a shard's vectors at most: longer vectors make shards of fewer rows.
 SHARD_BYTES = 16 << 20
 LEAF_ROWS = 64
 BLOCK_QUERIES = 1024
+#: Bytes of a group of queries, which a task holds.
+GROUP_BYTES = 16 << 20
 #: Sums of products below this are exact in doubles.
 _EXACT = float(1 << 53)
 
@@ -92,7 +97,9 @@ class Tree:
     def search(
         self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int
     ) -> Iterator[tuple[int, int, int]]:
-        """(query_id, vec_id, score) of each query's k best here whose score is its floor or more."""
+        """(query_id, vec_id, score) of each query's k best here whose score is its floor or more.
+
+        Floors rise to the kth scores found."""
         products, bounds = _products(queries, self.vectors), self.bounds(queries)
         inner = len(self.first) // 2
         for n, query_id in enumerate(query_ids.tolist()):
@@ -120,6 +127,8 @@ class Tree:
                         heapq.heapreplace(best, entry)
                 if len(best) == k:
                     kth = max(kth, best[0][0])
+            if len(best) == k and abs(kth) < _EXACT:
+                floors[n] = kth
             for score, vec_id in best:
                 yield query_id, -vec_id, score
 
@@ -140,6 +149,18 @@ def _products(queries: np.ndarray, vectors: np.ndarray) -> Callable[[int, int, i
     return lambda n, first, last: np.clip(v[first:last] @ q[n], -(2**63), 2**63 - 1)
 
 
+def _narrow(vectors: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest type that holds them."""
+    most = np.abs(vectors).max(initial=0)
+    kind = next((kind for kind in ("<i2", "<i4") if most <= np.iinfo(kind).max), "<f8")
+    return vectors.astype(kind).tobytes()
+
+
+def _wide(packed: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = {2: "<i2", 4: "<i4", 8: "<f8"}[len(packed) // (rows * dim)]
+    return np.frombuffer(packed, kind).reshape(rows, dim).astype(np.float64)
+
+
 _PACKED = T.StructType(
     [
         T.StructField("dim", T.IntegerType(), False),
@@ -158,7 +179,10 @@ def _packed(df: DataFrame, rows: int) -> DataFrame:
         def full(dim: int) -> pa.RecordBatch:
             ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, vectors))],
+                [
+                    pa.array([dim], pa.int32()),
+                    *(pa.array([x], pa.binary()) for x in (ids.tobytes(), _narrow(vectors))),
+                ],
                 _PACKED.fieldNames(),
             )
 
@@ -185,35 +209,34 @@ def _packed(df: DataFrame, rows: int) -> DataFrame:
 _FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
 
 
-def _searched(pairs: DataFrame, k: int) -> DataFrame:
-    """The best of every pair of a shard and a block of queries."""
+#: What a task meets, in this order: the blocks of a group of queries, then shards, without floors.
+_MET = ["dim", "group", "part", "shards"]
+
+
+def _searched(met: DataFrame, k: int) -> DataFrame:
+    """The best of every pair of a shard and a block of queries that have dim, group and part in
+    common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, built = None, None
+        key: tuple = ()
+        asking: list[tuple[np.ndarray, bytes, np.ndarray]] = []
         for batch in batches:
             for row in batch.to_pylist():
-                if built != row["shard"]:
-                    vectors = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
-                    tree, built = Tree(np.frombuffer(row["ids"], np.int64), vectors), row["shard"]
-                found = list(
-                    tree.search(
-                        np.frombuffer(row["q_ids"], np.int64),
-                        np.frombuffer(row["q_vectors"]).reshape(-1, row["dim"]),
-                        np.frombuffer(row["q_floors"]),
-                        k,
+                if key != (key := (row["dim"], row["group"], row["part"])):
+                    asking = []
+                ids = np.frombuffer(row["ids"], np.int64)
+                if row["floors"] is not None:
+                    asking.append((ids, row["vectors"], np.frombuffer(row["floors"]).copy()))
+                    continue
+                tree = Tree(ids, _wide(row["vectors"], len(ids), row["dim"])) if asking else None
+                for q_ids, packed, floors in asking:
+                    found = list(tree.search(q_ids, _wide(packed, len(q_ids), row["dim"]), floors, k))
+                    columns = zip(*found, strict=True) if found else ((), (), ())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.int64()) for x in columns], _FOUND.fieldNames()
                     )
-                )
-                ids, vec_ids, scores = zip(*found, strict=True) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()),
-                        pa.array(vec_ids, pa.int64()),
-                        pa.array(scores, pa.int64()),
-                    ],
-                    _FOUND.fieldNames(),
-                )
 
-    return pairs.mapInArrow(run, _FOUND)
+    return map_batches(met, run, _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -222,12 +245,12 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def _blocks(queries: DataFrame, count: int) -> DataFrame:
-    """Queries (vec_id, v, floor) as (block, dim, q_ids, q_vectors, q_floors)."""
+    """Queries (vec_id, v, floor) as (block, dim, ids, vectors, floors)."""
     parts = max(1, math.ceil(count / BLOCK_QUERIES))
     numbered = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
     schema = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("dim", T.IntegerType())]
-        + [T.StructField(n, T.BinaryType()) for n in ("q_ids", "q_vectors", "q_floors")]
+        + [T.StructField(n, T.BinaryType()) for n in ("ids", "vectors", "floors")]
     )
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
@@ -236,15 +259,35 @@ def _blocks(queries: DataFrame, count: int) -> DataFrame:
             {
                 "block": pa.array([key[0].as_py()], pa.int64()),
                 "dim": pa.array([vectors.shape[1]], pa.int32()),
-                "q_ids": pa.array([rows.column("vec_id").to_numpy().tobytes()], pa.binary()),
-                "q_vectors": pa.array([vectors.tobytes()], pa.binary()),
-                "q_floors": pa.array([rows.column("floor").to_numpy().tobytes()], pa.binary()),
+                "ids": pa.array([rows.column("vec_id").to_numpy().tobytes()], pa.binary()),
+                "vectors": pa.array([_narrow(vectors)], pa.binary()),
+                "floors": pa.array([rows.column("floor").to_numpy().tobytes()], pa.binary()),
             }
         )
 
     return numbered.withColumn("dim", F.size("v")).groupBy("block", "dim").applyInArrow(pack, schema)
 
 
+def _dealt(shards: DataFrame, blocks: DataFrame, groups: int, parts: int) -> DataFrame:
+    """Each shard for each group of blocks and each block for each part of the shards, as rows that
+    meet."""
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    asking = blocks.select(
+        "dim", F.pmod("block", F.lit(groups)).cast("int").alias("group"), each(parts).alias("part"),
+        F.lit(False).alias("shards"), "ids", "vectors", "floors",
+    )
+    asked = shards.select(
+        "dim", each(groups).alias("group"), F.pmod("shard", F.lit(parts)).cast("int").alias("part"),
+        F.lit(True).alias("shards"), "ids", "vectors", F.lit(None).cast("binary").alias("floors"),
+    )
+    # A count of its own, as what is read says little about the work on it.
+    met = asking.unionByName(asked).repartition(groups * parts, *_MET[:3])
+    return met.sortWithinPartitions(*_MET)
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -255,27 +298,28 @@ def search(
         return made.where("v IS NOT NULL AND vec_id IS NOT NULL")
 
     packed = settle(_packed(numbers(vectors), SHARD_ROWS), "shards")
-    count = packed.count()
+    count, n_vectors = packed.agg(F.count("*"), F.sum(F.length("ids") / 8)).first()
     # Named by content, so that a lost task's shards get their names again.
     named = packed.select("dim", F.xxhash64("ids", "vectors").alias("shard"), "ids", "vectors")
     asking = settle(numbers(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     n_queries = asking.count()
-
-    def met(shards: DataFrame, floored: DataFrame, name: str) -> DataFrame:
-        # Blocks of queries are smaller than shards, so those are what is sent to every bucket.
-        buckets = max(1, count)
-        blocks = settle(_blocks(floored, n_queries), f"blocks-{name}").withColumn(
-            "bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
-        )
-        dealt = shards.withColumn("bucket", F.pmod("shard", F.lit(buckets)).cast("int"))
-        pairs = dealt.join(blocks, ["dim", "bucket"])
-        return settle(_best(_searched(pairs, k), k), f"found-{name}")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def met(shards: DataFrame, share: float, floored: DataFrame, name: str) -> DataFrame:
+        blocks = settle(_blocks(floored, n_queries), f"blocks-{name}")
+        held = blocks.agg(F.sum(F.length("vectors"))).first()[0] or 0
+        groups = max(1, math.ceil(held / GROUP_BYTES))
+        # As many copies of queries as of vectors, or more where that gives too few tasks.
+        even = math.ceil(groups * share * (n_vectors or 0) / max(1, n_queries))
+        parts = max(1, min(math.ceil(share * count), max(even, math.ceil(tasks / groups))))
+        found = _searched(_dealt(shards, blocks, groups, parts), k)
+        return settle(_best(found, k), f"found-{name}")
 
     # The first group: about the root of the shards' number, chosen by their digest.
     share = 1.0 if count < 4 else math.sqrt(count) / count
     early = F.pmod(F.col("shard"), F.lit(1 << 20)) < int(share * (1 << 20))
     lowest = F.lit(float("-inf"))
-    first = met(named.where(early), asking.withColumn("floor", lowest), "first")
+    first = met(named.where(early), share, asking.withColumn("floor", lowest), "first")
     kth = first.where(F.col("rank") == k).select("vec_id", "query_id", "score")
     kth = kth.select(F.col("query_id").alias("asked"), F.col("score").cast("double").alias("kth"))
     # A long that doubles can't hold exactly starts from just below.
@@ -283,7 +327,7 @@ def search(
     floored = asking.join(kth, F.col("vec_id") == F.col("asked"), "left").select(
         "vec_id", "v", F.coalesce(exact, lowest).alias("floor")
     )
-    rest = met(named.where(~early), floored, "rest")
+    rest = met(named.where(~early), 1.0, floored, "rest")
     columns = ["query_id", "vec_id", "score"]
     return _best(first.select(columns).union(rest.select(columns)), k).select(
         "query_id", "rank", "vec_id", "score"

@@ -84,3 +84,33 @@ def test_large_components(spark, size):
     rows = [(i, (rng.normal(size=6) * size).tolist()) for i in range(80)]
     asked = [0, 5, 9]
     assert run(spark, filled(rows), asked, 4, "double") == plain(rows, asked, 4)
+
+
+def test_copies_of_queries_are_not_broadcast(spark, monkeypatch):
+    """A copy of the queries for each shard doesn't fit the driver."""
+    plans, settle = {}, kdtree.settle
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, name)
+
+    monkeypatch.setattr(kdtree, "settle", kept)
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 4)]) for i in range(600)]
+    asked = list(range(0, 600, 100))
+    assert run(spark, filled(rows), asked) == plain(rows, asked, 10)
+    for name in ("found-first", "found-rest"):
+        assert "MapInArrow" in plans[name] and "Broadcast" not in plans[name]
+
+
+@pytest.mark.parametrize("size", [1, 1e5, 1e12])
+def test_many_groups_of_queries(spark, monkeypatch, size):
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(kdtree, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(kdtree, "GROUP_BYTES", 64)
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.normal(size=4) * size).tolist()) for i in range(300)]
+    rows += [(i, (rng.normal(size=3) * size).tolist()) for i in range(300, 400)]
+    asked = list(range(0, 400, 9))
+    assert run(spark, filled(rows), asked, 5, "double") == plain(rows, asked, 5)
