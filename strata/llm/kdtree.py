@@ -7,7 +7,8 @@ vectors. No vector is shuffled for that.
 
 A query's inner product with anything in a box is at most the sum, over dimensions, of the larger
 of q x low and q x high. A traversal is best-first: nodes in the order of that bound, until the
-bound falls below the kth score. The kth score is propagated: queries meet a first group of shards
+bound falls below the kth score. A block of queries traverses a tree together, each query in the nodes
+that it still reaches, after its own best leaf. The kth score is propagated: queries meet a first group of shards
 (about the root of their number), and what they find there is where all others start from, so
 most of those give up near their root.
 
@@ -100,6 +101,54 @@ class Tree:
         """(query_id, vec_id, score) of each query's k best here whose score is its floor or more.
 
         Floors rise to the kth scores found."""
+        together = self._search_block if _exact(queries, self.vectors) else self._search_each
+        yield from together(query_ids, queries, floors, k)
+
+    def _search_block(
+        self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int
+    ) -> Iterator[tuple[int, int, int]]:
+        """All queries at once, by matrix products that doubles hold exactly."""
+        bounds, inner = self.bounds(queries), len(self.first) // 2
+        scores_of = np.full((len(queries), k), -np.inf)
+        ids_of = np.full((len(queries), k), np.iinfo(np.int64).max)
+
+        def meet(rows: np.ndarray, leaf: int) -> None:
+            here = slice(self.first[leaf], self.last[leaf])
+            scores = queries[rows] @ self.vectors[here].T
+            scores[(scores < floors[rows, None]) | (self.ids[here] == query_ids[rows, None])] = -np.inf
+            hit = scores.max(axis=1) > -np.inf
+            rows, scores = rows[hit], np.concatenate([scores_of[rows[hit]], scores[hit]], axis=1)
+            theirs = np.broadcast_to(self.ids[here], (len(rows), scores.shape[1] - k))
+            ids = np.concatenate([ids_of[rows], theirs], axis=1)
+            best = np.lexsort((ids, -scores), axis=-1)[:, :k]
+            scores_of[rows] = np.take_along_axis(scores, best, axis=1)
+            ids_of[rows] = np.take_along_axis(ids, best, axis=1)
+            floors[rows] = np.maximum(floors[rows], scores_of[rows, -1])
+
+        own = inner + bounds[:, inner:].argmax(axis=1)
+        for leaf in np.unique(own).tolist():
+            rows = np.flatnonzero((own == leaf) & (bounds[:, leaf] >= floors))
+            if len(rows):
+                meet(rows, leaf)
+        queue = [(-bounds[:, 0].max(initial=-np.inf), 0)]
+        while queue:
+            _, node = heapq.heappop(queue)
+            rows = np.flatnonzero(bounds[:, node] >= floors)
+            if node >= inner:
+                rows = rows[own[rows] != node]
+                if len(rows):
+                    meet(rows, node)
+            elif len(rows):
+                for child in (2 * node + 1, 2 * node + 2):
+                    heapq.heappush(queue, (-bounds[rows, child].max(), child))
+        row, place = np.nonzero(scores_of > -np.inf)
+        found = query_ids[row], ids_of[row, place], scores_of[row, place].astype(np.int64)
+        yield from zip(*(x.tolist() for x in found), strict=True)
+
+    def _search_each(
+        self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int
+    ) -> Iterator[tuple[int, int, int]]:
+        """One query after the other, for scores that doubles don't hold."""
         products, bounds = _products(queries, self.vectors), self.bounds(queries)
         inner = len(self.first) // 2
         for n, query_id in enumerate(query_ids.tolist()):

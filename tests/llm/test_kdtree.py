@@ -114,3 +114,47 @@ def test_many_groups_of_queries(spark, monkeypatch, size):
     rows += [(i, (rng.normal(size=3) * size).tolist()) for i in range(300, 400)]
     asked = list(range(0, 400, 9))
     assert run(spark, filled(rows), asked, 5, "double") == plain(rows, asked, 5)
+
+
+def test_a_block_of_queries_searches_as_each_alone():
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-9, 10, (2000, 5)).astype(float)
+    ids = rng.integers(0, 1500, 2000)  # repeated ones too
+    tree = kdtree.Tree(ids, vectors, leaf=16)
+    asked, asking = vectors[:90], ids[:90]
+    for k in (1, 7, 3000):
+        for floor in (-np.inf, 150.0):
+            found, floors = [], []
+            for search in (tree._search_block, tree._search_each):
+                floors.append(np.full(90, floor))
+                found.append(sorted(search(asking, asked, floors[-1], k)))
+            assert found[0] == found[1]
+            assert (floors[0] == floors[1]).all()
+
+
+def test_blocks_reach_few_leaves(monkeypatch):
+    """In few dimensions most leaves are cut off."""
+    rng = np.random.default_rng(9)
+    vectors = np.floor(rng.normal(size=(20_000, 2)) * 1000)
+    tree, met = kdtree.Tree(np.arange(20_000), vectors, leaf=16), []
+    tree.vectors = Counted(tree.vectors, met)
+    found = list(tree._search_block(np.arange(50), vectors[:50], np.full(50, -np.inf), 5))
+    assert len(found) == 250 and sum(met) < 20_000 // 2
+
+
+class Counted(np.ndarray):
+    """Vectors that note how many rows are cut out of them."""
+
+    def __new__(cls, vectors, met):
+        made = np.asarray(vectors).view(cls)
+        made.met = met
+        return made
+
+    def __array_finalize__(self, other):
+        self.met = getattr(other, "met", None)
+
+    def __getitem__(self, key):
+        made = np.asarray(self)[key]
+        if isinstance(key, slice):
+            self.met.append(len(made))
+        return made
